@@ -5,21 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, warc
+from . import packing, quality, simhash, substrings, suffixes, warc
 from .common import table
 
 
+def _removed() -> F.Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substrings.without_repeated_passages(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.col("n_items").alias("n_words"), _removed().alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_id")
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffixes.without_repeated_strings(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.col("n_items").alias("n_bytes"), _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_path(spark)
     warc.write_archives(warc.resolved(table(spark, sf_dir, "pages")), path)
@@ -31,7 +45,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_simhash, op9_warc, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_substrings, op5_simhash, op7_suffixes, op9_warc, op10_quality)}
 
 ORACLE = {
     "op9_warc": """
