@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, substrings, suffixes, warc
+from . import decontaminate, packing, quality, simhash, substrings, suffixes, warc
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.col("n_items").alias("n_bytes"), _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_path(spark)
     warc.write_archives(warc.resolved(table(spark, sf_dir, "pages")), path)
@@ -45,7 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_substrings, op5_simhash, op7_suffixes, op9_warc, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_substrings, op5_simhash, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
 
 ORACLE = {
     "op9_warc": """
