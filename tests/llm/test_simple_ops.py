@@ -65,7 +65,9 @@ def test_packing(spark):
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     rows = TEXTS + [(100 + i, f"word{i} 's  end \n\n it's" * (i * 7 % 60) + " <|endoftext|> x") for i in range(60)]
-    got = packing.pack(docs(spark, rows), P.path("byte_bpe_50k.json"), group=16, with_ids=True).collect()
+    got = packing.pack(docs(spark, rows), P.path("byte_bpe_50k.tiktoken"), group=16, with_ids=True).collect()
+    same = packing.pack(docs(spark, rows), P.path("byte_bpe_50k.json"), group=16, with_ids=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, same))
     ids = {}
     for p in got:
         assert p.length == len(p.ids) // 4 and p.ids_crc32 == zlib.crc32(p.ids)

@@ -16,7 +16,7 @@ def _removed() -> F.Column:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
