@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash, substrings, suffixes, warc
+from . import decontaminate, packing, quality, sharding, simhash, substrings, suffixes, warc
 from .common import table
 
 
@@ -29,6 +29,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
+    return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffixes.without_repeated_strings(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("n_items").alias("n_bytes"), _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
@@ -49,7 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_substrings, op5_simhash, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
 
 ORACLE = {
     "op9_warc": """
