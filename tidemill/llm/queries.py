@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, sharding, simhash, substrings, suffixes, toxicity, warc
+from . import decontaminate, lm, packing, quality, sharding, simhash, substrings, suffixes, toxicity, warc
 from .common import table
 
 
@@ -13,6 +13,10 @@ def _removed() -> F.Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,7 +62,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
 
 ORACLE = {
     "op9_warc": """
