@@ -198,7 +198,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     for f, a in hits.items():
         b = miss.get(f, 0)
         # A lower bound of the log odds ratio.
-        strength[f] = np.log((a + 0.5) / (pos + 1)) - np.log((b + 0.5) / (neg + 1)) - 1.3 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        strength[f] = np.log((a + 0.5) / (pos + 1)) - np.log((b + 0.5) / (neg + 1)) - 2.2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     entries = sorted((f for f in strength if strength[f] > 0.7), key=lambda f: (-strength[f], f))[:ENTRIES]
     number = {f: i for i, f in enumerate(entries)}
 
