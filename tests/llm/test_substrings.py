@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemill.llm import substrings, suffixes
-from tidemill.llm.windows import Repeated, Sketch
+from tidemill.llm.windows import cells, merged, runs, sketched
 
 
 def brute(rows, length, items):
@@ -58,6 +58,7 @@ def test_words_and_bytes_against_brute_force(spark, length):
         assert got == sorted(want, key=str)
         assert any(w[2] for w in want)
         assert op(docs.limit(0), length).count() == 0
+        assert [len(r.spans) for r in op(docs.filter("doc_id = 103"), length).collect()] == [0]
 
 
 @settings(max_examples=150, deadline=None)
@@ -76,25 +77,34 @@ def test_two_stage_sorting(values, depth, data):
         assert n == next((i for i in range(depth) if a[i] != b[i]), depth)
 
 
-def test_sketch_never_underestimates():
-    rng = np.random.default_rng(1)
-    a, b, c = (rng.integers(0, 2**64, 3000, dtype=np.uint64) for _ in range(3))
-    one, two = Sketch(12, 3), Sketch(12, 3)
-    one.add(np.zeros(6000, np.int64), np.concatenate([a, b]))
-    two.add(np.repeat([0, 1], 3000), np.concatenate([b, c]))
-    blocks = {}
-    for s in (one, two):
-        for i, x, y in s.blocks():
-            blocks.setdefault(i, []).append((x, y))
-    import zstandard
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 30)), max_size=30), min_size=1, max_size=5))
+def test_merged_sketches_never_underestimate(chunks):
+    keys = np.random.default_rng(1).integers(0, 2**64, 31, dtype=np.uint64)
+    where = {}
+    for i, pairs in enumerate(chunks):
+        for text, key in pairs:
+            where.setdefault(key, set()).add((i, text))
+    by = {}
+    for i, pairs in enumerate(chunks):
+        for part, cell, many in sketched(np.array([p[0] for p in pairs], np.int64), keys[[p[1] for p in pairs]], 3):
+            by.setdefault(part, []).append((cell, many))
+    got = set()
+    for part, rows in by.items():
+        for (cell, _), again in zip(rows, merged(rows), strict=True):
+            got |= {(part, int(c)) for c in cell[again]}
+    for key, at in where.items():
+        part, cell = cells(keys[key : key + 1], 3)
+        assert ((int(part[0]), int(cell[0])) in got) == (len(at) > 1)
 
-    undo, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor().compress
-    out = []
-    for i, parts in blocks.items():
-        x, y = (np.frombuffer(undo(p), np.uint8).copy() for p in parts[0])
-        for p, q in parts[1:]:
-            p, q = (np.frombuffer(undo(z), np.uint8) for z in (p, q))
-            y |= q | (x & p)
-            x |= p
-        out.append((i, pack(y.tobytes())))
-    assert Repeated(out, 12, 3)(b).all()
+
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=6), st.integers(3, 12), st.data())
+def test_runs_cover_each_window_once(sizes, length, data):
+    items = np.array(data.draw(st.lists(st.integers(0, 3), min_size=sum(sizes), max_size=sum(sizes))), np.uint64)
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    text, at, n, m = runs(items, bounds, length, max(1, length // 3))
+    windows = [(int(t), int(a) + i) for t, a, k in zip(text, at, n, strict=True) for i in range(int(k))]
+    assert windows == [(t, p) for t in range(len(sizes)) for p in range(bounds[t], bounds[t + 1] - length + 1)]
+    seen = {}
+    for t, a, k, h in zip(text, at, n, m, strict=True):
+        for i in range(int(k)):
+            assert seen.setdefault(tuple(items[a + i : a + i + length]), h) == h

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .spans import Chunk, Unit, _flat, without_repeats
+from .spans import Chunk, Unit, without_repeats
 from .windows import rolling
 
+_PLACES = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
+
 
 class _Digests(dict):
     """128-bit digests of words."""
@@ -26,37 +30,25 @@ class Words(Unit):
 
     _BASE = 0xC2B2AE3D27D4EB4F
 
-    def __init__(self, length: int = 50, k: int = 16):
-        self.length, self.k = length, min(k, length)
+    def __init__(self, length: int = 50, k: int = 16, layout: bool = False):
+        self.length, self.k, self.layout = length, min(k, length), layout
 
     def chunk(self, texts: list[bytes]) -> Chunk:
         known = _Digests()
         words = [t.split() for t in texts]
         both = np.frombuffer(b"".join([known[w] for ws in words for w in ws]), "<u8").reshape(-1, 2)
         bounds = np.concatenate([[0], np.cumsum([len(ws) for ws in words])]).astype(np.int64)
-        return Chunk(np.ascontiguousarray(both[:, 0]), bounds, (words, np.ascontiguousarray(both[:, 1]), {}))
-
-    def _windows(self, chunk: Chunk) -> np.ndarray:
-        done = chunk.extra[2]
-        if "windows" not in done:
-            done["windows"] = rolling(chunk.extra[1], self.length, self._BASE)
-        return done["windows"]
-
-    def digests(self, chunk, at, n):
-        # Windows on end are known by their words: the hash of all the words that they cover.
-        windows = self._windows(chunk)
-        total = np.zeros(len(windows) + 1, np.uint64)
-        np.cumsum(windows * (np.uint64(2) * np.arange(len(windows), dtype=np.uint64) + np.uint64(1)), out=total[1:])
-        plain = np.zeros(len(windows) + 1, np.uint64)
-        np.cumsum(windows, out=plain[1:])
-        # Sum over j of windows[at + j] * (2 j + 1), whatever at is.
-        return (total[at + n] - total[at]) - np.uint64(2) * at.astype(np.uint64) * (plain[at + n] - plain[at])
-
-    def fragments(self, chunk, at, n):
-        return self._windows(chunk)[_flat(at, n)].tobytes()
+        windows = rolling(both[:, 1], self.length, self._BASE)
+        return Chunk(bounds, memoryview(windows.tobytes()), 8, (words, np.ascontiguousarray(both[:, 0])))
+
+    def items(self, chunk, start, stop):
+        return chunk.extra[1][start:stop]
+
+    def extent(self, n):
+        return n
 
     def smallest(self, ids, n, keys, data):
-        windows = np.frombuffer(b"".join(data), np.uint64)
+        windows = np.frombuffer(data, np.uint64)
         ids, keys = np.repeat(ids, n), np.repeat(keys, n)
         order = np.lexsort((windows, keys))
         w, k = windows[order], keys[order]
@@ -67,15 +59,22 @@ class Words(Unit):
 
     def cut(self, chunk, text, raw, gone):
         words = chunk.extra[0][text]
-        kept = words if gone is None else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-        return b" ".join(kept).decode("utf-8", "replace"), len(words)
+        if gone is None:
+            return (raw if self.layout else b" ".join(words)).decode("utf-8", "replace"), len(words)
+        if self.layout:
+            # Each kept word with the blanks before it.
+            kept = [part for part, g in zip(_PLACES.findall(raw), gone.tolist(), strict=True) if not g]
+            return b"".join(kept).lstrip().decode("utf-8", "replace"), len(words)
+        return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode("utf-8", "replace"), len(words)
 
 
-def without_repeated_passages(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def without_repeated_passages(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), layout: bool = False) -> DataFrame:
     """One row per document: doc_id, n_items (words), spans (runs of removed words), text (kept words, joined by one space), carried columns.
 
+    With layout, the text keeps its own blanks and line ends instead.
+
     A word goes if a window of `length` words that covers it also starts in a document with a smaller id; windows are judged on the
     input. Null and empty texts have no words; texts shorter than a window stay; a null id counts as the largest; rows that share an id are
     one document and do not remove from each other; columns outside carry are not read; an empty table gives no rows.
     """
-    return without_repeats(docs, Words(length), T.StructField("text", T.StringType()), id_col, text_col, carry)
+    return without_repeats(docs, Words(length, layout=layout), T.StructField("text", T.StringType()), id_col, text_col, carry)

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .spans import Chunk, Unit, _flat, without_repeats
-from .windows import rolling
 
 
 def _ranked(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -125,24 +124,17 @@ class Bytes(Unit):
         self.length, self.k = length, min(k, length)
 
     def chunk(self, texts):
-        raw = np.frombuffer(b"".join(texts), np.uint8)
-        return Chunk(self._TABLE[raw], np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), raw)
-
-    def digests(self, chunk, at, n):
-        # From rolling hashes of 8 bytes: enough positions of them to cover the fragment, weighted by their place.
-        grams = rolling(chunk.items, 8)
-        n = n + self.length - 8
-        total = np.zeros(len(grams) + 1, np.uint64)
-        np.cumsum(grams * (np.uint64(2) * np.arange(len(grams), dtype=np.uint64) + np.uint64(1)), out=total[1:])
-        plain = np.zeros(len(grams) + 1, np.uint64)
-        np.cumsum(grams, out=plain[1:])
-        return (total[at + n] - total[at]) - np.uint64(2) * at.astype(np.uint64) * (plain[at + n] - plain[at])
-
-    def fragments(self, chunk, at, n):
-        return chunk.extra[_flat(at, n + self.length - 1)].tobytes()
+        joined = b"".join(texts)
+        return Chunk(np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), memoryview(joined), 1, np.frombuffer(joined, np.uint8))
+
+    def items(self, chunk, start, stop):
+        return self._TABLE[chunk.extra[start:stop]]
+
+    def extent(self, n):
+        return n + self.length - 1
 
     def smallest(self, ids, n, keys, data):
-        text = np.frombuffer(b"".join(data), np.uint8)
+        text = np.frombuffer(data, np.uint8)
         size = n + self.length - 1
         first = np.cumsum(size) - size
         starts = _flat(first, n)

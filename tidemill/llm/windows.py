@@ -1,4 +1,4 @@
-"""Rolling hashes, minimizers of fixed-length windows, and a count-min sketch of them: what both substring operators share.
+"""Rolling hashes, minimizers of fixed-length windows, and sparse count-min sketches of them: what both substring operators share.
 
 Every window of `length` items holds `length - k + 1` runs of k items; its minimizer is the one with the smallest hash, the leftmost on
 ties. Equal windows have equal minimizers, so a minimizer is in at least as many documents as any window that it stands for, and a sketch
@@ -8,9 +8,6 @@ that overestimates the former overestimates the latter.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
 
 _POSITION_BITS = 30
 _MASK = np.uint64((1 << _POSITION_BITS) - 1)
@@ -46,7 +43,9 @@ def minimizers(grams: np.ndarray, w: int) -> np.ndarray:
     """For each w consecutive hashes the position of the smallest (by its upper bits, the leftmost on ties)."""
     if len(grams) < w:
         return np.zeros(0, np.int64)
-    low = ((grams * np.uint64(0xD6E8FEB86659FD93)) & ~_MASK) | np.arange(len(grams), dtype=np.uint64)
+    low = grams * np.uint64(0xD6E8FEB86659FD93)
+    low &= ~_MASK
+    low |= np.arange(len(grams), dtype=np.uint64)
     reach = 1
     while 2 * reach <= w:
         low = np.minimum(low[:-reach], low[reach:])
@@ -67,92 +66,68 @@ def runs(items: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[np
     grams = rolling(items, k)
     place = minimizers(grams, length - k + 1)
     n = len(place)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
-    valid = np.arange(n) + length <= bounds[text + 1]
+    # The last windows' starts of a text, which would reach into the next one, are no windows.
+    valid = np.ones(n, bool)
+    for end in bounds[1:].tolist():
+        valid[max(0, end - length + 1) : end] = False
     new = np.empty(n, bool)
     new[0] = True
-    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1]) | ~valid[:-1]
-    at = np.flatnonzero(new & valid)
-    ends = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) + 1
-    return text[at], at, ends - at, grams[place[at]]
-
-
-class Sketch:
-    """Count-min sketch of minimizers by documents, with counts that stop at 2: depth rows of 2 ** bits cells. Its size is fixed."""
-
-    FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-    BLOCK = 1 << 21
-
-    def __init__(self, bits: int = 25, depth: int = 3):
-        self.bits, self.depth = bits, depth
-        self.cells = np.zeros((depth, 1 << bits), np.uint8)
-
-    def places(self, keys: np.ndarray, row: int) -> np.ndarray:
-        mixed = keys ^ (keys >> np.uint64(29))
-        return (mixed * np.uint64(self.FACTORS[row])) >> np.uint64(64 - self.bits)
-
-    def add(self, text: np.ndarray, keys: np.ndarray) -> None:
-        """Counts each key once for each of the texts that it is in; a text must not be added in parts."""
-        if not len(keys):
-            return
-        order = np.lexsort((text, keys))
-        keys, text = keys[order], text[order]
-        keys = keys[np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])])]
-        for row in range(self.depth):
-            cells, n = np.unique(self.places(keys, row), return_counts=True)
-            self.cells[row][cells] = np.minimum(2, self.cells[row][cells] + np.minimum(n, 2))
-
-    def blocks(self):
-        """(block, cells that are 1 or more, cells that are 2) as compressed bits; blocks of zeros are left out."""
-        size, pack = min(self.BLOCK, 1 << self.bits), zstandard.ZstdCompressor(level=1).compress
-        for i, cells in enumerate(self.cells.reshape(-1, size)):
-            if cells.any():
-                yield i, pack(np.packbits(cells > 0).tobytes()), pack(np.packbits(cells > 1).tobytes())
-
-
-class Repeated:
-    """Which keys a merged sketch estimates to be in two documents or more."""
-
-    def __init__(self, blocks: list[tuple[int, bytes]], bits: int, depth: int):
-        self.sketch = Sketch.__new__(Sketch)
-        self.sketch.bits, self.sketch.depth = bits, depth
-        size = min(Sketch.BLOCK, 1 << bits) // 8
-        self.rows = np.zeros((depth << bits) // 8, np.uint8)
-        for i, data in blocks:
-            self.rows[i * size : (i + 1) * size] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-        self.rows = self.rows.reshape(depth, -1)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for row in range(self.sketch.depth):
-            at = self.sketch.places(keys, row)
-            found &= (self.rows[row][(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
-        return found
-
-
-def merged(sketches: DataFrame, bits: int, depth: int) -> list[tuple[int, bytes]]:
-    """The merged sketch of rows (block, one, two), as compressed bits of the cells that reach 2.
-
-    Each block is merged in one task, which folds the partitions' rows one after the other and holds one row at a time; what comes to the
-    driver has the fixed size of the sketch (depth * 2 ** bits bits), whatever the corpus.
-    """
-
-    def fold(batches):
-        held: dict[int, list[np.ndarray]] = {}
-        undo = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for block, one, two in zip(*batch.columns, strict=True):
-                one, two = (np.frombuffer(undo(x.as_py()), np.uint8) for x in (one, two))
-                if (key := block.as_py()) in held:
-                    have = held[key]
-                    have[1] |= two | (have[0] & one)
-                    have[0] |= one
-                else:
-                    held[key] = [one.copy(), two.copy()]
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for key, (_, two) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([pack(two.tobytes())], pa.binary())], names=["block", "two"])
-
-    n = max(1, (depth << bits) // Sketch.BLOCK)
-    rows = sketches.repartition(n, "block").mapInArrow(fold, "block int, two binary").collect()
-    return [(r.block, bytes(r.two)) for r in rows]
+    np.not_equal(place[1:], place[:-1], out=new[1:])
+    new[1:] |= ~valid[:-1]
+    new &= valid
+    # A text of fewer items than a window has no valid start, so a run never spans texts.
+    at = np.flatnonzero(new)
+    stop = np.append(at[1:], n)
+    gap = np.flatnonzero(~valid)
+    if len(gap):
+        following = np.searchsorted(gap, at)
+        stop = np.minimum(stop, np.where(following < len(gap), gap[np.minimum(following, len(gap) - 1)], n))
+    return np.searchsorted(bounds, at, "right") - 1, at, stop - at, grams[place[at]]
+
+
+def mixed(keys: np.ndarray) -> np.ndarray:
+    keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return keys ^ (keys >> np.uint64(29))
+
+
+def cells(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slice, cell in the slice) of each key in a sketch of slices * 2 ** 32 cells."""
+    m = mixed(keys)
+    return ((m >> np.uint64(32)) % np.uint64(slices)).astype(np.int64), (m & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def sketched(text: np.ndarray, keys: np.ndarray, slices: int):
+    """The sketch of some texts: (slice, its nonzero cells in order, whether each is 2 or more); a key counts once a text, and counts stop at 2."""
+    part, cell = cells(keys, slices)
+    joint = (part.astype(np.uint64) << np.uint64(32)) | cell
+    order = np.lexsort((text, joint))
+    joint, text = joint[order], text[order]
+    if not len(joint):
+        return
+    once = np.concatenate([[True], (joint[1:] != joint[:-1]) | (text[1:] != text[:-1])])
+    joint = joint[once]
+    first = np.flatnonzero(np.concatenate([[True], joint[1:] != joint[:-1]]))
+    many = np.diff(np.append(first, len(joint))) > 1
+    joint = joint[first]
+    part = (joint >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield int(part[a]), (joint[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32), many[a:b]
+
+
+def merged(sketches: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Of several sketches of one slice, as (cells, whether 2 or more): for each its cells that are 2 or more in their sum."""
+    every = np.concatenate([c for c, _ in sketches])
+    many = np.concatenate([m for _, m in sketches])
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    same = ordered[1:] == ordered[:-1]
+    again = np.zeros(len(every), bool)
+    again[order[1:]] |= same
+    again[order[:-1]] |= same
+    # A cell that is 2 in one sketch is so in all.
+    group = np.cumsum(np.concatenate([[True], ~same])) - 1 if len(every) else np.zeros(0, np.int64)
+    full = np.zeros(group[-1] + 1 if len(group) else 0, bool)
+    np.logical_or.at(full, group[many[order]], True)
+    again[order] |= full[group]
+    return np.split(again, np.cumsum([len(c) for c, _ in sketches])[:-1])
