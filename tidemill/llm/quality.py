@@ -71,7 +71,7 @@ def measured(text: str | None) -> Text:
 #: Each rule rejects a text; none depends on another, so their order changes the cost but not the verdict. Only texts that pass the base rule get here.
 RULES: dict[str, Callable[[Text], bool]] = {
     "symbols": lambda t: t.n_symbols > 0.3 * len(t.words),
-    "line_repeats": lambda t: t.lines >= 4 and t.n_dup_lines > 0.3 * t.lines,
+    "line_repeats": lambda t: t.lines >= 4 and t.n_dup_lines > 0.6 * t.lines,
     "word_length": lambda t: not 2 <= t.word_chars / len(t.words) <= 25,
     "no_letters": lambda t: sum(1 for w in t.words if _LETTER.search(w)) < 0.6 * len(t.words),
     "one_word": lambda t: max(Counter(t.words).values()) > 0.5 * len(t.words),

@@ -65,6 +65,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
 
 ORACLE = {
+    "op4_substrings": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             i AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p FROM d),
+             s AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM i JOIN d USING (doc_id) WHERE p + 49 <= len(w)),
+             m AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY h) < doc_id AS again FROM s),
+             c AS (SELECT i.doc_id, i.p, coalesce(max(CAST(again AS INTEGER)) OVER (PARTITION BY i.doc_id ORDER BY i.p ROWS 49 PRECEDING), 0) AS gone FROM i LEFT JOIN m ON m.doc_id = i.doc_id AND m.p = i.p),
+             k AS (SELECT c.doc_id, sum(gone) AS n_removed, string_agg(w[p], ' ' ORDER BY p) FILTER (gone = 0) AS kept FROM c JOIN d USING (doc_id) GROUP BY c.doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
              d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
@@ -73,4 +81,23 @@ ORACLE = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
         FROM k""",
+    "op10_quality": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+             i AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+             t AS (SELECT doc_id, p, x, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS g FROM i WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+             n AS (SELECT doc_id, p, CAST(g IS NOT NULL AND count(g) OVER (PARTITION BY doc_id, g) > 1 AS INTEGER) AS twice FROM t),
+             r AS (SELECT doc_id, max(twice) OVER (PARTITION BY doc_id ORDER BY p ROWS 2 PRECEDING) AS hit FROM n),
+             s AS (SELECT doc_id, sum(hit) AS n_repeat_words FROM r GROUP BY doc_id),
+             f AS (SELECT doc_id, max(c) AS most, count(*) AS distinct_words FROM (SELECT doc_id, x, count(*) AS c FROM i GROUP BY ALL) GROUP BY doc_id),
+             b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+                          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, most, distinct_words,
+                          len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS with_letters
+                   FROM d LEFT JOIN s USING (doc_id) LEFT JOIN f USING (doc_id)),
+             v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND NOT (n_symbols > 0.3 * n_words OR (n_lines >= 4 AND n_dup_lines > 0.6 * n_lines) OR word_chars < 2 * n_words OR word_chars > 25 * n_words
+                                        OR with_letters < 0.6 * n_words OR most > 0.5 * n_words OR (distinct_words < 0.05 * n_words AND n_words < 5000)) AS kept
+        FROM v""",
 }
