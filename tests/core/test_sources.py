@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.sources import config, datasource, lists, pages, sinks
+from tidemill.sources import config, datasource, index, lists, pages, sinks
 from tidemill.schemas import COLUMNS
 
 
@@ -147,3 +147,19 @@ def test_config(tmp_path):
         with pytest.raises(ValueError, match=text):
             config.Config(**change).validate()
     assert config.Config().watchdog() == 750_000 and config.Config(watchdog_ms=5).watchdog() == 5
+
+
+def test_older_index(spark, tmp_path):
+    magic = b"INDEXv2\n"
+    assert index.fnv1a(b"") == 0xCBF29CE484222325 and index.fnv1a(b"a") == 0xAF63DC4C8601EC8C
+    out = put(tmp_path / "out.tsv", "\n".join([line("Q", "new"), line("q", "new"), line("done", "x"), line("r", "y")]))
+    done = spark.createDataFrame([("done",)], "name string")
+    fresh = index.rebuilt(spark, out, done)
+    want = {(q, int.from_bytes(index.fnv1a(f"{q}\0id:ID".encode()).to_bytes(8, "little"), "little", signed=True)) for q in ("q", "r")}
+    assert {tuple(r) for r in fresh.collect()} == want
+    whole = magic + index.packed("q", [1, -2]) + index.packed("done", [3]) + index.packed("q", [1, 4])
+    p = put(tmp_path / "idx", whole + index.packed("torn", [5, 6])[:-3])
+    assert {tuple(r) for r in index.imported(spark, p, magic).collect()} == {("q", 1), ("q", -2), ("q", 4), ("done", 3)}
+    assert {tuple(r) for r in index.loaded(spark, p, out, magic, done).collect()} == {("q", 1), ("q", -2), ("q", 4)}
+    for other in (put(tmp_path / "flat", b"x"), str(tmp_path / "missing")):
+        assert {tuple(r) for r in index.loaded(spark, other, out, magic, done).collect()} == want
