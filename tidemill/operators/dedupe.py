@@ -14,6 +14,9 @@ def first_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     if not rest:
         return rows.distinct()
+    if rest == order and len(order) == 1:
+        # A plain minimum is hashed; structs are sorted before they are aggregated.
+        return rows.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(*rows.columns)
     best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
