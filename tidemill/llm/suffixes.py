@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -134,10 +135,27 @@ class Bytes(Unit):
         return n + self.length - 1
 
     def smallest(self, ids, n, keys, data):
-        text = np.frombuffer(data, np.uint8)
+        # Equal fragments, which came from different chunks, stand in the text once, with the smallest of their ids.
         size = n + self.length - 1
-        first = np.cumsum(size) - size
-        starts = _flat(first, n)
+        stop = np.cumsum(size)
+        digest = xxhash.xxh3_128_digest
+        marks = np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip((stop - size).tolist(), stop.tolist(), strict=True)]), np.uint64).reshape(-1, 2)
+        order = np.lexsort((marks[:, 0], marks[:, 1]))
+        new = np.ones(len(order), bool)
+        new[1:] = (marks[order[1:]] != marks[order[:-1]]).any(axis=1)
+        own = np.empty(len(order), np.int64)
+        own[order] = np.cumsum(new) - 1
+        lead = order[new]
+        least = np.full(len(lead), np.iinfo(np.int64).max)
+        np.minimum.at(least, own, ids)
+        text = np.frombuffer(data, np.uint8)[_flat((stop - size)[lead], size[lead])]
+        got = self._smallest(least, n[lead], text)
+        first = np.cumsum(n[lead]) - n[lead]
+        return got[_flat(first[own], n)]
+
+    def _smallest(self, ids: np.ndarray, n: np.ndarray, text: np.ndarray) -> np.ndarray:
+        size = n + self.length - 1
+        starts = _flat(np.cumsum(size) - size, n)
         wanted = np.zeros(len(text), bool)
         wanted[starts] = True
         array = two_stage(text, wanted, self.length)
