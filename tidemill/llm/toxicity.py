@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,38 @@ def features_of(text: bytes, known: dict[bytes, list[str]]) -> set[str]:
     return found
 
 
+_MINHASH = np.arange(1, 13, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+
+
+def likeness(text: bytes) -> list[int]:
+    """Six bands of two minimum hashes over the text's three-word shingles: near copies mostly share one, other texts do not."""
+    w = text.lower().split()
+    digest = xxhash.xxh3_64_intdigest
+    h = np.array([digest(x) for x in map(b" ".join, zip(w, w[1:], w[2:], strict=False))] or [digest(b" ".join(w))], np.uint64)
+    least = np.array([(h * a).min() for a in _MINHASH])
+    return (least[:6] ^ (least[6:] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.arange(6, dtype=np.uint64)).view(np.int64).tolist()
+
+
+def apart(rows: list[tuple[int, int, list[int]]]) -> list[int]:
+    """Of (id, label, bands) the smallest id of each group of rows with one label that bands connect."""
+    root: dict[tuple, tuple] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i, y, bands in rows:
+        for band in bands:
+            root[find((y, "band", band))] = find((y, "id", i))
+    least: dict[tuple, int] = {}
+    for i, y, _ in rows:
+        group = find((y, "id", i))
+        least[group] = min(i, least.get(group, i))
+    return sorted(set(least.values()))
+
+
 def patterns(text: bytes) -> list[int]:
     """Votes of the pattern voters: 1 toxic, -1 clean, 0 none. They tell little by themselves; the label model finds out how much."""
     n = max(1, len(text))
@@ -59,6 +92,27 @@ def patterns(text: bytes) -> list[int]:
     ]
 
 
+def covering(found: list[np.ndarray], clean: np.ndarray, least: int = 3) -> np.ndarray:
+    """Entries, chosen one after the other, that hit the most toxic rows which no chosen one hits, less twice the clean rows that they hit (clean), down to a gain of `least`.
+
+    What merely stands beside a toxic word, in a passage that several toxic texts share, hits none that the word does not.
+    """
+    where = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    what = np.concatenate(found) if len(where) else np.zeros(0, np.int64)
+    chosen = []
+    while len(what):
+        n = np.bincount(what, minlength=len(clean)) - 2 * clean
+        best = int(n.argmax())
+        if n[best] < least:
+            break
+        chosen.append(best)
+        hit = np.zeros(len(found), bool)
+        hit[where[what == best]] = True
+        left = ~hit[where]
+        where, what = where[left], what[left]
+    return np.array(sorted(chosen), np.int64)
+
+
 @dataclass
 class LabelModel:
     """P(vote of voter j | class) and the voters' residual correlations; voters that repeat each other share their weight."""
@@ -105,7 +159,7 @@ class LabelModel:
         return right / np.maximum(all_, 1e-12)
 
 
-def _fit_linear(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, size: int, rounds: int = 300) -> np.ndarray:
+def _fit_linear(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, size: int, rounds: int = 1500) -> np.ndarray:
     """Weights (features, extra columns, bias) of a logistic regression on soft targets, by full-batch Adagrad."""
     where = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     what = np.concatenate(rows) if len(where) else np.zeros(0, np.int64)
@@ -160,8 +214,16 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     n = gold.count()
     if n > labelled:
         gold = gold.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(labelled / n * (1 << 20)))
-    sample = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).join(F.broadcast(gold), "id").select("y", "text")
-    sample = staged(sample, "labelled")
+
+    def marked(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([likeness(t.as_py()) for t in batch.column(2)], pa.list_(pa.int64()))], names=["id", "y", "text", "bands"])
+
+    sample = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).join(F.broadcast(gold), "id").select("id", "y", "text")
+    sample = staged(sample.mapInArrow(marked, "id long, y int, text binary, bands array<long>"), "labelled")
+    # Copies of one toxic text would make its every word look toxic, so each text counts once. Numbers only, of the bounded sample, are compared on the driver.
+    once = apart([(r.id, r.y, r.bands) for r in sample.select("id", "y", "bands").collect()])
+    sample = sample.join(F.broadcast(spark.createDataFrame([(i,) for i in once], "id long")), "id", "left_semi").select("y", "text")
     base = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = base.get(1, 0), base.get(0, 0)
     if not pos or not neg:
@@ -194,11 +256,13 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     least = max(3, pos // 400)
     hits = {r.feature: r.n for r in counted(1, None).filter(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(100_000).collect()}
     miss = {r.feature: r.n for r in counted(0, set(hits)).collect()}
-    strength = {}
+    strength, sure, share = {}, {}, pos / (pos + neg)
     for f, a in hits.items():
         b = miss.get(f, 0)
         # A lower bound of the log odds ratio.
         strength[f] = np.log((a + 0.5) / (pos + 1)) - np.log((b + 0.5) / (neg + 1)) - 2.2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        # How far beyond chance, among as many candidates.
+        sure[f] = a * np.log(a / (a + b) / share) + (b * np.log(b / (a + b) / (1 - share)) if b else 0.0) > np.log(len(hits)) + 4
     entries = sorted((f for f in strength if strength[f] > 0.7), key=lambda f: (-strength[f], f))[:ENTRIES]
     number = {f: i for i, f in enumerate(entries)}
 
@@ -213,6 +277,13 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     y = np.array([r.y for r in rows])
     found = [np.array(r.hits, np.int64) for r in rows]
     marks = np.array([r.patterns for r in rows], np.int64)
+    chosen = covering([h for h, label in zip(found, y, strict=True) if label], np.array([miss.get(f, 0) for f in entries], np.int64))
+    chosen = np.union1d(chosen, [i for i, f in enumerate(entries) if sure[f]]).astype(np.int64)
+    rank = np.full(len(entries), -1)
+    rank[chosen] = np.arange(len(chosen))
+    found = [(r := rank[h])[r >= 0] for h in found]
+    entries = [entries[i] for i in chosen]
+    number = {f: i for i, f in enumerate(entries)}
     # Lexicons: by kind, by strength, and dealt in turn.
     voter = np.zeros(len(entries), np.int64)
     names: dict[tuple, int] = {}
