@@ -489,3 +489,55 @@ def q42_attempt_states(spark, d):
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     log = table(spark, d, "events").select(F.col("user_id").alias("query"), (F.row_number().over(order) - 1).cast("long").alias("seq"), result.alias("result"))
     return verdict.settled(log, 12)
+
+
+# Errors, probes, outputs
+
+
+_ERRORS = ("net::ERR_TIMED_OUT at page", "unexpected EOF", "Watchdog: nothing moved", "HTTP 500", "tls: HANDSHAKE failure", "page did not load")
+
+
+@query(f"""
+    WITH e AS (SELECT event_id, CASE event_id % {len(_ERRORS)} {" ".join(f"WHEN {i} THEN {q(e)}" for i, e in enumerate(_ERRORS))} END AS error FROM events)
+    SELECT event_id, {" OR ".join(f"contains(lower(error), {q(m)})" for m in markers.TIMEOUT)} AS timed_out, {" OR ".join(f"contains(lower(error), {q(m)})" for m in markers.HICCUP)} AS hiccup FROM e""")
+def q43_error_class(spark, d):
+    error = F.get(F.array(*map(F.lit, _ERRORS)), (F.col("event_id") % len(_ERRORS)).cast("int"))
+    return table(spark, d, "events").select("event_id", markers.timed_out(error).alias("timed_out"), markers.hiccup(error).alias("hiccup"))
+
+
+@query("""
+    SELECT CASE event_id % 3 WHEN 0 THEN 'sleep' || event_id WHEN 1 THEN 'skip' ELSE 'sleep0' || event_id END AS action, CASE WHEN event_id % 3 <> 1 AND event_id BETWEEN 1 AND 3600 THEN CAST(event_id AS INTEGER) END AS seconds,
+           event_type IN ('click', 'view') OR event_id % 5 = 0 AS blocked FROM events""")
+def q44_actions_and_resources(spark, d):
+    i = F.col("event_id")
+    action = F.when(i % 3 == 0, F.concat(F.lit("sleep"), i)).when(i % 3 == 1, "skip").otherwise(F.concat(F.lit("sleep0"), i))
+    url = F.when(i % 5 == 0, "https://ads.example.com/a").otherwise("https://www.example.com/a")
+    return table(spark, d, "events").select(action.alias("action"), X.action_seconds(action).alias("seconds"), X.resource_blocked(F.col("event_type"), url, ("click", "view"), ("ads.",), ("/pixel",)).alias("blocked"))
+
+
+@query("""
+    SELECT CAST(event_id AS VARCHAR) AS endpoint, CAST(floor(value * 10) AS BIGINT) AS latency_ms FROM events
+    WHERE event_type IN ('purchase', 'click') AND user_id % 4 <> 0 AND user_id % 3 <> 0 AND floor(value * 10) > 0""")
+def q45_probe_seed(spark, d):
+    status_ = F.when(F.col("event_type") == "purchase", 200).when(F.col("event_type") == "click", 429).otherwise(500)
+    probes = table(spark, d, "events").select(F.col("event_id").cast("string").alias("endpoint"), status_.alias("status"), F.when(F.col("user_id") % 4 == 0, "refused").alias("error"), F.floor(F.col("value") * 10).alias("latency_ms"), (F.col("user_id") % 3 == 0).alias("port_only"))
+    return telemetry.seeded(probes.select("endpoint"), probes)
+
+
+@query("""
+    SELECT n_name AS query, c_name AS brand, 'holder "' || c_mktsegment || '"' AS holder, 'ROM.' || c_custkey AS record_id, CAST(c_custkey AS INTEGER) AS number FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 5 <> 0""")
+def q46_output_round_trip(spark, d):
+    """Rows are written as tab-separated lines and read again, without the queries that are finished."""
+    import uuid
+
+    from ..schemas import COLUMNS
+    from ..sources import lists, sinks
+    from ..sources.shared import shared_dir
+
+    c = table(spark, d, "customer").join(F.broadcast(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    known = {"brand": F.col("c_name"), "holder": F.concat(F.lit('holder "'), "c_mktsegment", F.lit('"')), "record_id": F.concat(F.lit("ROM."), "c_custkey"), "number": F.col("c_custkey").cast("int")}
+    rows = c.select(F.col("n_name").alias("query"), *[known.get(n, F.lit("")).alias(n) for n in COLUMNS])
+    path = f"{shared_dir(spark)}/output-{uuid.uuid4().hex[:8]}.tsv"
+    sinks.export_rows(rows, F.lit("2024-01-02 03:04:05").cast("timestamp"), path)
+    finished = table(spark, d, "nation").filter("n_nationkey % 5 = 0").select(F.lower("n_name").alias("name"))
+    return lists.output_rows(spark, path, finished).select("query", "brand", "holder", "record_id", "number")
