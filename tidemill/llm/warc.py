@@ -51,8 +51,11 @@ def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     return pages.select(text.alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = 5000) -> None:
-    """Writes the records of resolved() pages as gzipped archives with Spark's own committer: a lost task leaves nothing behind."""
+def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000) -> None:
+    """Writes the records of resolved() pages as gzipped archives with Spark's own committer: a lost task leaves nothing behind.
+
+    An archive is read back whole, so records_per_file bounds a reader's memory; it must stay below 2 GB unpacked.
+    """
     records(pages).write.option("lineSep", EOL * 2).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
