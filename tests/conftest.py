@@ -2,6 +2,10 @@ import os
 import sys
 
 import pytest
+from hypothesis import settings
+
+settings.register_profile("tidemill", deadline=None)
+settings.load_profile("tidemill")
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
