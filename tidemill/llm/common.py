@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import shared_dir
 
-#: Java pattern of what separates words: words are `[^\x20\x09-\x0D]+`, as bytes.split() has them.
-SPACE = r"[\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
