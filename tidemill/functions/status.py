@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from .messages import MESSAGES
 
 def message(key: Column, messages: dict[str, str] = MESSAGES) -> Column:
     """A known key's text; an unknown key is its own."""
-    table = F.create_map(*[F.lit(x) for pair in messages.items() for x in pair])
+    # One literal, folded to a map when the query is planned.
+    table = F.from_json(F.lit(json.dumps(messages)), "map<string,string>")
     return F.coalesce(F.try_element_at(table, key), key)
 
 

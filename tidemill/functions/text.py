@@ -30,9 +30,15 @@ def normalise(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"[{_SPACE}{_ODD_SPACE}]+", " "))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space at the ends. A pattern that ends in $ tries every run of blanks of a long text, so one is used only where the text ends in a blank."""
+    head = F.when(F.left(c, F.lit(1)).rlike(f"[{_SPACE}]"), F.regexp_replace(c, f"^[{_SPACE}]+", "")).otherwise(c)
+    return F.when(F.right(head, F.lit(1)).rlike(f"[{_SPACE}]"), F.regexp_replace(head, f"[{_SPACE}]+$", "")).otherwise(head)
+
+
 def query_key(c: Column) -> Column:
     """The key of a query: trimmed, lower case."""
-    return F.lower(F.regexp_replace(c, f"^[{_SPACE}]+|[{_SPACE}]+$", ""))
+    return F.lower(trimmed(c))
 
 
 def store_key(line: Column) -> Column:
@@ -82,7 +88,7 @@ def date_only(c: Column) -> Column:
 def sanitise(c: Column) -> Column:
     """A name for files: wildcards by name, other characters than letters, digits, spaces and dashes as one dash, at most 60 bytes. Names of different queries may agree."""
     trim = lambda x: F.regexp_replace(x, "^-+|-+$", "")
-    named = F.replace(F.replace(F.regexp_replace(c, f"^[{_SPACE}]+|[{_SPACE}]+$", ""), F.lit("*"), F.lit("-star-")), F.lit("?"), F.lit("-qmark-"))
+    named = F.replace(F.replace(trimmed(c), F.lit("*"), F.lit("-star-")), F.lit("?"), F.lit("-qmark-"))
     plain = trim(F.regexp_replace(F.lower(F.regexp_replace(named, r"[^\p{L}\p{N} -]+", "-")), "-{2,}", "-"))
     plain = F.when(plain == "", "query").otherwise(plain)
     fits = F.try_element_at(F.filter(F.sequence(F.lit(60), F.lit(1), F.lit(-1)), lambda k: F.octet_length(F.left(plain, k)) <= 60), F.lit(1))
