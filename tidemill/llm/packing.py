@@ -6,6 +6,7 @@ import base64
 import zlib
 from array import array
 from collections.abc import Callable, Iterable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,16 +23,25 @@ PIECES = "row_id long, doc_id long, start long, length long, ids_crc32 long, doc
 
 
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterable[bytes]]:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes. A .tiktoken file of ranks gives the same ids as the .json file of its vocabulary, several times as fast."""
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes. A .tiktoken file of ranks gives the same ids as the .json file of its vocabulary, several times as fast; a text on which its regular
+    expressions give up, as on a million blanks, is taken to that file."""
+    from tokenizers import Tokenizer
+
     if tokenizer.endswith(".tiktoken"):
         import tiktoken
 
         with open(tokenizer, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
-        return lambda texts: (array("I", own.encode(t, allowed_special="all")).tobytes() for t in texts)
-    from tokenizers import Tokenizer
+        slow = cache(lambda: Tokenizer.from_file(tokenizer.removesuffix(".tiktoken") + ".json"))
+
+        def ids(text: str) -> list[int]:
+            try:
+                return own.encode(text, allowed_special="all")
+            except ValueError:
+                return slow().encode(text, add_special_tokens=False).ids
 
+        return lambda texts: (array("I", ids(t)).tobytes() for t in texts)
     whole = Tokenizer.from_file(tokenizer)
     return lambda texts: (array("I", x.ids).tobytes() for x in whole.encode_batch(texts, add_special_tokens=False))
 
