@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -19,8 +20,10 @@ WINDOW = 8
 SHORTEST = 5
 #: A template window needs so many tokens that are not slots.
 LITERALS = 4
-#: Share of an item's tokens that must be matched along one alignment.
+#: Share of an item's tokens that must be matched along one chain of alignments.
 COVERAGE = 0.4
+#: A copy with insertions may be so many times as long as its item.
+SPREAD = 2
 #: Window hashes of the benchmark that are broadcast as a filter (8 bytes each) at most; beyond, every window goes to the join.
 FILTER = 4_000_000
 
@@ -119,12 +122,72 @@ def consistent(pairs: list[tuple[str, str]]) -> bool:
     return all(seen.setdefault(a, b) == b for a, b in pairs)
 
 
+def chained(matches: list[dict]) -> list[dict]:
+    """The matches of the chain that covers most tokens of the item: runs of overlapping matches of one shift (document position minus
+    item position) follow each other in both texts. Two runs may share tokens, as around a name that has become two words."""
+    runs: list[list[dict]] = []
+    for m in sorted(matches, key=lambda m: (m["pos"] - m["item_pos"], m["item_pos"])):
+        last = runs[-1][-1] if runs else None
+        if last and m["pos"] - m["item_pos"] == last["pos"] - last["item_pos"] and m["item_pos"] <= last["item_pos"] + len(last["words"]):
+            runs[-1].append(m)
+        else:
+            runs.append([m])
+    runs.sort(key=lambda r: (r[0]["item_pos"], r[0]["pos"]))
+    start, at = (np.array([r[0][k] for r in runs]) for k in ("item_pos", "pos"))
+    end = np.array([r[-1]["item_pos"] + len(r[-1]["words"]) for r in runs])
+    stop = at + end - start
+    covered, before = end - start, np.full(len(runs), -1)
+    for j in range(1, len(runs)):
+        ahead = np.flatnonzero((start[:j] < start[j]) & (end[:j] < end[j]) & (at[:j] < at[j]) & (stop[:j] < stop[j]))
+        if len(ahead):
+            with_it = covered[ahead] + end[j] - np.maximum(start[j], end[ahead])
+            best = int(np.argmax(with_it))
+            if with_it[best] > covered[j]:
+                covered[j], before[j] = with_it[best], ahead[best]
+    out, j = [], int(np.argmax(covered)) if runs else -1
+    while j >= 0:
+        out += runs[j]
+        j = int(before[j])
+    return out
+
+
+def verdict(matches: list[dict], forms=token) -> tuple[int, bool]:
+    """(tokens of the item that the matches cover, whether slots differ); template matches count only if all slots can be renamed.
+
+    A slot between two shifts has become several words, of which the first and the last are seen; elsewhere one of the two may be.
+    """
+    covered: dict[int, set[int]] = {}
+    slots: dict[int, tuple[str, dict[int, str]]] = {}
+    for m in matches:
+        for i, (a, b) in enumerate(zip(m["item_words"], m["words"], strict=True)):
+            covered.setdefault(m["item_pos"] + i, set()).add(m["kind"])
+            if m["kind"] and (one := forms(a))[1][:1] == "<":
+                slots.setdefault(m["item_pos"] + i, (one[0], {}))[1][m["pos"] + i] = forms(b)[0]
+    pairs = sorted({(a, (seen[min(seen)], seen[max(seen)])) for a, seen in slots.values()})
+    whole = {(a, part): b for a, b in pairs if b[0] != b[1] for part in b}
+    if not consistent([(a, whole.get((a, b[0]), b) if b[0] == b[1] else b) for a, b in pairs]):
+        return sum(0 in kinds for kinds in covered.values()), False
+    return len(covered), any(b != (a, a) for a, b in pairs)
+
+
+def judged(matches: list[dict], forms=token) -> tuple[int, bool]:
+    """The best verdict on the chain of all matches, the chain of plain ones, and each shift alone."""
+    shifts: dict[int, list[dict]] = {}
+    for m in matches:
+        shifts.setdefault(m["pos"] - m["item_pos"], []).append(m)
+    tried = list(shifts.values())
+    if len(shifts) > 1:
+        tried += [chained(matches), chained([m for m in matches if not m["kind"]])]
+    return max((verdict(x, forms) for x in tried), key=lambda v: (v[0], not v[1]))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, matched (tokens), item_tokens, renamed (slots differ).
 
     Both sides become plain and template tokens; windows of `window` tokens (shorter items: all their tokens) are joined by hash, and the
-    matches of one document and item are gathered by alignment, at most an item's length of them. Template windows count only if all
-    slots of the alignment can be renamed consistently. The filter broadcast to the documents' side is the benchmark's hashes, after a
+    matches of one document and item are gathered by stretches of the document, each match in the two stretches of SPREAD items' length that
+    overlap there. Within one, matches are chained in order of position over all shifts, as words may have been inserted or dropped.
+    Template windows count only if all slots of the chain can be renamed consistently. The filter broadcast to the documents' side is the benchmark's hashes, after a
     count shows that they are few enough; beyond that there is no filter and all windows are shuffled.
 
     Null and empty texts match nothing; a null id is given back; repeated rows give one row; other columns are not read; an empty table on either side gives no rows.
@@ -152,27 +215,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         yield from _of_rows(batches, sizes, names, known.value)
 
     found = side(docs, id_col).mapInArrow(of_docs, schema).join(items, "h")
-    match = F.struct("kind", "item_pos", "words", "item_words")
-    aligned = found.groupBy("row", F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.collect_list(match).alias("matches"), F.first("item_tokens").alias("item_tokens"))
+    match = F.struct("kind", "item_pos", "pos", "words", "item_words")
+    stretch = F.floor(F.col("pos") / (SPREAD * F.col("item_tokens")))
+    placed = found.withColumn("stretch", F.explode(F.array(stretch, stretch - 1)))
+    gathered = placed.groupBy("row", F.col("id").alias("doc_id"), "item_id", "stretch").agg(F.collect_list(match).alias("matches"), F.first("item_tokens").alias("item_tokens"))
 
     def judge(batches):
+        forms = lru_cache(1 << 16)(token)
         for batch in batches:
             out = []
             for doc, item, matches, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                covered, slots = {}, set()
-                for m in matches:
-                    for i, (a, b) in enumerate(zip(m["item_words"], m["words"], strict=True)):
-                        one, two = token(a), token(b)
-                        if m["kind"] and one[1][:1] == "<" and (one[0], two[0]) not in slots:
-                            slots.add((one[0], two[0]))
-                        covered.setdefault(m["item_pos"] + i, set()).add(m["kind"])
-                if not consistent(sorted(slots)):
-                    covered = {k: v for k, v in covered.items() if 0 in v}
-                    slots = set()
-                if len(covered) >= coverage * n:
-                    out.append((doc, item, len(covered), n, any(a != b for a, b in slots)))
+                covered, renamed = judged(matches, forms)
+                if covered >= coverage * n:
+                    out.append((doc, item, covered, n, renamed))
             kinds = [pa.int64()] * 4 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "item_id", "matched", "item_tokens", "renamed"])
 
-    judged = aligned.select("doc_id", "item_id", "matches", "item_tokens").mapInArrow(judge, "doc_id long, item_id long, matched long, item_tokens long, renamed boolean")
-    return judged.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("item_tokens").alias("item_tokens"), F.min("renamed").alias("renamed"))
+    verdicts = gathered.select("doc_id", "item_id", "matches", "item_tokens").mapInArrow(judge, "doc_id long, item_id long, matched long, item_tokens long, renamed boolean")
+    best = F.max(F.struct("matched", (~F.col("renamed")).alias("same")))
+    return verdicts.groupBy("doc_id", "item_id").agg(best.alias("best"), F.max("item_tokens").alias("item_tokens")).select("doc_id", "item_id", F.col("best.matched").alias("matched"), "item_tokens", (~F.col("best.same")).alias("renamed"))
