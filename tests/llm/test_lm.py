@@ -85,3 +85,13 @@ def test_gradients(monkeypatch):
         down[k][at] -= 1e-4
         numeric = (loss(up) - loss(down)) / 2e-4
         assert abs(numeric - step[k][at]) < 0.03 * abs(numeric) + 1e-6, k
+
+
+def test_every_training_document_trains_the_weights(spark, monkeypatch):
+    kept, stage = {}, lm.staged
+    monkeypatch.setattr(lm, "staged", lambda frame, name: kept.setdefault(name, stage(frame, name)))
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 1000))) for i in range(330)]
+    got = lm.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert kept["lm-train"].count() == got.filter("not held_out").count()
+    assert got.select("train_tokens").first()[0] > 281_250

@@ -28,9 +28,6 @@ STATE, HEAD, CLASS, TAILS = 32, 2048, 64, 64
 KNOWN = 300_000
 #: Longer words are joined however frequent they are, so that what is broadcast has a bound in bytes.
 LONGEST = 64
-#: One in so many training documents trains the recurrent weights (all are counted), at most; of less than SHARE ** 2 * FULL tokens more are
-#: used, so that what is trained on grows with the input throughout: as its root at first, then in proportion.
-SHARE, FULL = 16, 125_000
 #: Rounds of training; after each, the copies trained in the tasks are averaged.
 ROUNDS = 4
 LANES, STEPS, RATE, LEAST_UPDATES = 64, 16, 0.12, 150
@@ -333,10 +330,10 @@ def _averaged(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(fold, "n double, data binary")
 
 
-def trained(train: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> Model:
-    """train: (doc_id, text). Tasks train copies of the model, each on its own documents, one slice of them a round; the copies are averaged."""
+def trained(train: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """train: (doc_id, text). Tasks train copies of the model, each on its own documents, one slice of them a round; the copies are averaged. Every document is in one round."""
     spark = train.sparkSession
-    own = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).withColumn("round", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds))).cast("int"))
+    own = train.withColumn("round", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds))).cast("int"))
     own = staged(own.select("round", "text"), "lm-train")
     model = Model.fresh(vocabulary)
     sums = fresh_sums(model)
@@ -403,7 +400,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
             tail_v[tail_class(w)] -= 1
     weight = np.concatenate([np.array([n + SMOOTH for _, n in head]), tail_n + SMOOTH * (tail_v + 1)])
     vocabulary = Vocabulary(number, np.log(weight / weight.sum()))
-    model = trained(train, vocabulary, share=int(np.clip(round(math.sqrt(total / FULL)), 1, SHARE)))
+    model = trained(train, vocabulary)
     spark = docs.sparkSession
     inside = np.log10(tail_n + SMOOTH * (tail_v + 1))
     # count: of words outside the head the tail class too; what is not here is joined.
