@@ -51,11 +51,11 @@ def test_probabilities_sum_to_one_and_state_is_carried():
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, m.heads + lm.TAILS, n) for n in (1, 50, 7, 16, 17, 90)]
     together = m.score(texts)
-    gates = m.w["in"] @ m.w["x"] + m.w["b"]
+    gates = m.gates(m.w["in"])
     for t, got in zip(texts, together, strict=True):
         h, total, before = np.zeros((1, lm.STATE), np.float32), 0.0, m.start
         for x in t:
-            h = m.step(gates[[before]], h)[0]
+            h = m.advance(gates[:, [before]], h)
             total += m.log_probabilities(h, np.array([x]))[0]
             before = x
         assert abs(total - got) < 1e-3 * len(t)
@@ -88,10 +88,29 @@ def test_gradients(monkeypatch):
 
 
 def test_every_training_document_trains_the_weights(spark, monkeypatch):
-    kept, stage = {}, lm.staged
-    monkeypatch.setattr(lm, "staged", lambda frame, name: kept.setdefault(name, stage(frame, name)))
+    given, train = {}, lm.trained
+
+    def kept(texts, vocabulary, tokens):
+        given.update(rows=texts.count(), tokens=tokens, targets=texts.selectExpr("sum(length(targets))").first()[0])
+        return train(texts, vocabulary, tokens)
+
+    monkeypatch.setattr(lm, "trained", kept)
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 1000))) for i in range(330)]
     got = lm.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
-    assert kept["lm-train"].count() == got.filter("not held_out").count()
-    assert got.select("train_tokens").first()[0] > 281_250
+    assert given["rows"] == got.filter("not held_out").count() and given["targets"] == 2 * given["tokens"]
+    assert got.select("train_tokens").first()[0] == given["tokens"] > 281_250
+
+
+def test_training_takes_every_token_and_ignores_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COPY", 3_000)
+    taken, lanes = [], lm.Model._lanes
+    monkeypatch.setattr(lm.Model, "_lanes", lambda self, tokens, seen: taken.append(tokens.size) or lanes(self, tokens, seen))
+    m = small_model()
+    m.train(np.random.default_rng(6).integers(0, m.heads, 100_003), lm.fresh_sums(m))
+    assert sum(taken) == 100_003
+    rows = [(i, np.random.default_rng(i).integers(0, 140, 40).astype(np.uint16).tobytes()) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, targets binary")
+    voc = lm.Vocabulary({str(i).encode(): i for i in range(129)} | {lm.END: 129}, np.log(np.full(130 + lm.TAILS, 1 / (130 + lm.TAILS))))
+    one, other = (lm.trained(frame.repartition(n), voc, 12_000).w for n in (2, 7))
+    assert all(np.allclose(one[k], other[k], atol=1e-6) for k in one)

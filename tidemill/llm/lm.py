@@ -12,6 +12,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +24,19 @@ from .common import in_chunks, staged
 #: The end of a text; no word is empty.
 END = b""
 #: Size of the recurrent state and of input vectors, head words, words of a head class, tail classes.
-STATE, HEAD, CLASS, TAILS = 32, 2048, 64, 64
+STATE, HEAD, CLASS, TAILS = 16, 1024, 64, 32
 #: Most frequent words whose counts are broadcast (about 40 bytes each); the counts of all others are joined.
 KNOWN = 300_000
 #: Longer words are joined however frequent they are, so that what is broadcast has a bound in bytes.
 LONGEST = 64
-#: Rounds of training; after each, the copies trained in the tasks are averaged.
+#: Rounds of training; after each, the copies are averaged.
 ROUNDS = 4
-LANES, STEPS, RATE, LEAST_UPDATES = 64, 16, 0.12, 150
-#: Tokens that are gathered before they are scored.
-UNIT = 6_000_000
+#: Training tokens of a copy of the model, and copies at most (a copy reads its texts as a stream, however many they are).
+COPY, COPIES = 2_000_000, 4096
+#: Tokens that are dealt to lanes together, lanes and steps of a window, updates that a stream gets at least, and the rate of learning.
+STREAM, LANES, STEPS, LEAST_UPDATES, RATE = 1 << 20, 512, 16, 150, 0.3
+#: Tokens that are gathered before they are scored, texts that go through time together, and tokens whose probabilities are computed together.
+UNIT, TOGETHER, SCORED = 6_000_000, 512, 8192
 #: Smoothing of counts.
 SMOOTH = 0.1
 
@@ -53,21 +57,27 @@ class Vocabulary:
         return -(-len(self.number) // CLASS)
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def log_shares(logits: np.ndarray, picked: np.ndarray, tame: bool) -> np.ndarray:
+    """log softmax at one column a row; logits is overwritten. tame: all logits are near zero, else the largest of each row is taken out."""
+    if not tame:
+        logits -= logits.max(axis=1, keepdims=True)
+    at = logits[np.arange(len(picked)), picked]
+    np.exp(logits, out=logits)
+    return at - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def log_shares(logits: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """log softmax at one column a row. Logits are near zero, and the largest is taken out only where they are not; logits is overwritten."""
-    rows = np.arange(len(picked))
-    at = logits[rows, picked]
-    top = logits.max(initial=0)
-    if top > 60 or logits.min(initial=0) < -60:
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        at = at - top
+def shares(logits: np.ndarray, picked: np.ndarray, tame: bool) -> float:
+    """Turns logits into their softmax; returns the sum of the picked columns' logarithms."""
+    if not tame:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    return at - np.log(logits.sum(axis=1))
+    logits *= (1 / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
+    return float(np.log(logits[np.arange(len(picked)), picked] + 1e-30).sum())
+
+
+def _three(weights: np.ndarray) -> np.ndarray:
+    """The parts of a matrix for the three kinds of gates, (3, rows, STATE), without a copy."""
+    return weights.reshape(len(weights), 3, STATE).transpose(1, 0, 2)
 
 
 class Model:
@@ -97,30 +107,33 @@ class Model:
     def start(self) -> int:
         return self.heads + TAILS
 
-    def step(self, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """New state and what its gradient needs, from the inputs' part of the gates."""
-        s = STATE
-        u = h @ self.w["h"]
-        zr = sigmoid(gates[:, : 2 * s] + u[:, : 2 * s])
-        z, r = zr[:, :s], zr[:, s:]
-        n = np.tanh(gates[:, 2 * s :] + r * u[:, 2 * s :])
-        return n + z * (h - n), z, r, n, u[:, 2 * s :]
-
-    def advance(self, gates: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """step() without what a gradient needs; gates is overwritten."""
-        s = STATE
-        u = h @ self.w["h"]
-        zr, n = gates[:, : 2 * s], u[:, 2 * s :]
-        zr += u[:, : 2 * s]
-        np.negative(zr, out=zr)
-        np.exp(zr, out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
-        n *= zr[:, s:]
-        n += gates[:, 2 * s :]
+    @property
+    def tame(self) -> bool:
+        """Whether no logit can leave -60 to 60: states are within -1 to 1, so weights and biases bound them. What is not finite is not tame."""
+        w = self.w
+        return bool(max((np.abs(w["class"]).sum(axis=0) + np.abs(w["class_b"])).max(), (np.abs(w["out"]).sum(axis=2) + np.abs(w["out_b"])).max()) < 60)
+
+    def gates(self, x: np.ndarray) -> np.ndarray:
+        """The inputs' part of the update gates, the reset gates and the candidates: (3, inputs, STATE)."""
+        return np.matmul(x, _three(self.w["x"])) + self.w["b"].reshape(3, 1, STATE)
+
+    def advance(self, gates: np.ndarray, h: np.ndarray, inner: np.ndarray | None = None) -> np.ndarray:
+        """The new states, from the inputs' part of the gates, which is overwritten with the gates and the candidates; inner gets the states' part of the candidates."""
+        u = np.matmul(h, _three(self.w["h"]))
+        zr, n = gates[:2], gates[2]
+        zr += u[:2]
+        # The logistic function by tanh, which cannot overflow.
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        if inner is not None:
+            inner[:] = u[2]
+        u[2] *= zr[1]
+        n += u[2]
         np.tanh(n, out=n)
         new = h - n
-        new *= zr[:, :s]
+        new *= zr[0]
         new += n
         return new
 
@@ -129,8 +142,9 @@ class Model:
         w = self.w
         logits = states @ w["class"]
         logits += w["class_b"]
+        tame = self.tame
         group = np.where(targets < self.heads, targets // CLASS, targets - self.heads + self.classes)
-        out = log_shares(logits, group).astype(np.float64)
+        out = log_shares(logits, group, tame).astype(np.float64)
         order = np.argsort(group.astype(np.uint16), kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
         for c in range(self.classes):
@@ -138,10 +152,10 @@ class Model:
             if len(own):
                 inner = states[own] @ w["out"][c].T
                 inner += w["out_b"][c]
-                out[own] += log_shares(inner, targets[own] - c * CLASS)
+                out[own] += log_shares(inner, targets[own] - c * CLASS, tame)
         return out
 
-    def score(self, texts: list[np.ndarray], most: int = 2048) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], most: int = TOGETHER) -> np.ndarray:
         """Log probability of each text (its targets, the end's included). Texts of similar length go through time together, at most `most` of them."""
         order = np.argsort([-len(t) for t in texts], kind="stable")
         out = np.empty(len(texts))
@@ -154,121 +168,135 @@ class Model:
         lengths = np.array([len(t) for t in texts])
         order = np.argsort(-lengths, kind="stable")
         total, longest = np.zeros(len(texts)), int(lengths.max(initial=0))
-        gates_of = self.w["in"] @ self.w["x"] + self.w["b"]
+        gates_of = self.gates(self.w["in"])
         flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.uint16)
         sizes = lengths[order]
         first = np.cumsum(sizes) - sizes
-        h = np.zeros((len(texts), STATE), np.float32)
-        alive_at = np.searchsorted(-sizes, -np.arange(longest), "left")  # texts longer than t
-        for at in range(0, longest, STEPS):
-            states, targets, owners = [], [], []
-            for t in range(at, min(at + STEPS, longest)):
-                b = int(alive_at[t])
-                tokens = flat[first[:b] + t - 1] if t else np.full(b, self.start)
-                h = h[:b]
-                h = self.advance(gates_of[tokens], h)
-                states.append(h)
-                targets.append(flat[first[:b] + t])
-                owners.append(np.arange(b))
-            got = self.log_probabilities(np.concatenate(states), np.concatenate(targets).astype(np.int64))
-            total[: len(sizes)] += np.bincount(np.concatenate(owners), got, len(sizes))
+        h, at = np.zeros((len(texts), STATE), np.float32), 0
+        while at < longest:
+            b = int(np.searchsorted(-sizes, -at, "left"))  # texts longer than `at`
+            # Windows are longer where few texts are left; the state goes on from one to the next.
+            steps = min(max(STEPS, SCORED // b), longest - at)
+            place = first[:b] + np.arange(at, at + steps)[:, None]
+            alive = np.arange(at, at + steps)[:, None] < sizes[:b]
+            tokens = flat[np.minimum(place - 1, len(flat) - 1)]
+            if not at:
+                tokens[0] = self.start
+            gates, states, h = gates_of[:, tokens], np.empty((steps, b, STATE), np.float32), h[:b]
+            for t in range(steps):
+                states[t] = h = self.advance(gates[:, t], h)
+            got = self.log_probabilities(states[alive], flat[place[alive]].astype(np.int64))
+            total[:b] += np.bincount(np.nonzero(alive)[1], got, b)
+            at += steps
         out = np.empty(len(texts))
         out[order] = total
         return out
 
     def train(self, tokens: np.ndarray, seen: dict[str, np.ndarray], least: int = LEAST_UPDATES) -> float:
-        """Adagrad over a stream of targets (texts on end, each closed by the end), once, in windows of STEPS and LANES lanes (fewer, where that would give less than `least` updates). Returns the mean log probability on the way."""
-        end = self.end
+        """Adagrad over a stream of targets (texts on end, each closed by the end), once: in windows of STEPS and LANES lanes (fewer, where that
+        would give less than `least` updates); what is left over when all lanes are equally long is a lane of its own. Returns the sum of the
+        log probabilities on the way."""
         lanes = max(1, min(LANES, len(tokens) // (STEPS * least)))
         length = len(tokens) // lanes
-        if not length:
-            return 0.0
-        targets = tokens[: lanes * length].reshape(lanes, length).T
+        total = self._lanes(tokens[: lanes * length].reshape(lanes, length), seen)
+        return total + self._lanes(tokens[None, lanes * length :], seen)
+
+    def _lanes(self, tokens: np.ndarray, seen: dict[str, np.ndarray]) -> float:
+        """One pass over lanes of equal length; the state is carried from window to window and starts anew after each end."""
+        targets = np.ascontiguousarray(tokens.T)
         inputs = np.empty_like(targets)
-        inputs[0] = self.start
-        inputs[1:] = np.where(targets[:-1] == end, self.start, targets[:-1])
-        h, total = np.zeros((lanes, STATE), np.float32), 0.0
-        for at in range(0, length, STEPS):
+        inputs[:1] = self.start
+        inputs[1:] = np.where(targets[:-1] == self.end, self.start, targets[:-1])
+        h, total = np.zeros((len(tokens), STATE), self.w["h"].dtype), 0.0
+        for at in range(0, len(targets), STEPS):
             h, got = self._window(inputs[at : at + STEPS], targets[at : at + STEPS], h, seen)
             total += got
-        return total / targets.size
+        return total
 
     def _window(self, inputs, targets, h, seen):
+        """Forward and back through one window, and an update: (the last state, the sum of log probabilities). inputs, targets: (step, lane)."""
         w, s = self.w, STATE
         steps, lanes = inputs.shape
-        x = w["in"][inputs.ravel()]
-        gates = (x @ w["x"] + w["b"]).reshape(steps, lanes, -1)
-        keep = (inputs != self.start).astype(np.float32)[:, :, None]
-        before, kept = [], []
+        n, shown = inputs.size, inputs.ravel()
+        x = w["in"][shown]
+        gates = self.gates(x).reshape(3, steps, lanes, s)
+        keep = (inputs != self.start).astype(x.dtype)[:, :, None]
+        before, state, un = (np.empty((steps, lanes, s), x.dtype) for _ in range(3))
         for t in range(steps):
-            h = h * keep[t]
-            before.append(h)
-            h, *rest = self.step(gates[t], h)
-            kept.append((h, *rest))
-        states, flat = np.concatenate([k[0] for k in kept]), targets.ravel()
-        n = len(flat)
-        # Output layer.
-        logits = states @ w["class"] + w["class_b"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
+            np.multiply(h, keep[t], out=before[t])
+            state[t] = h = self.advance(gates[:, t], before[t], un[t])
+        z, r, candidate = gates
+        states, flat = state.reshape(n, s), targets.ravel().astype(np.int64)
+        # Output layer: p and q become the gradients of the logits.
+        p = states @ w["class"]
+        p += w["class_b"]
         group = np.where(flat < self.heads, flat // CLASS, flat - self.heads + self.classes)
-        rows = np.arange(n)
-        loss = float(np.log(p[rows, group] + 1e-30).sum())
-        p[rows, group] -= 1
-        p /= n
-        grads = {"class": states.T @ p, "class_b": p.sum(axis=0)}
+        tame, ones = self.tame, np.ones(n, x.dtype)
+        loss = shares(p, group, tame)
+        p[np.arange(n), group] -= 1
+        grads = {"class": states.T @ p, "class_b": ones @ p}
         d = p @ w["class"].T
         grads["out"], grads["out_b"] = np.zeros_like(w["out"]), np.zeros_like(w["out_b"])
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.uint16), kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
         for c in range(self.classes):
             own = order[cuts[c] : cuts[c + 1]]
             if len(own):
-                inner = states[own] @ w["out"][c].T + w["out_b"][c]
-                inner -= inner.max(axis=1, keepdims=True)
-                q = np.exp(inner)
-                q /= q.sum(axis=1, keepdims=True)
-                k = np.arange(len(own))
-                loss += float(np.log(q[k, flat[own] - c * CLASS] + 1e-30).sum())
-                q[k, flat[own] - c * CLASS] -= 1
-                q /= n
-                grads["out"][c], grads["out_b"][c] = q.T @ states[own], q.sum(axis=0)
+                at = states[own]
+                q = at @ w["out"][c].T
+                q += w["out_b"][c]
+                picked = flat[own] - c * CLASS
+                loss += shares(q, picked, tame)
+                q[np.arange(len(own)), picked] -= 1
+                grads["out"][c], grads["out_b"][c] = q.T @ at, ones[: len(own)] @ q
                 d[own] += q @ w["out"][c]
-        # Back through the window's steps.
+        # Back through the window's steps; what does not depend on the later steps is computed for all of them at once.
         d = d.reshape(steps, lanes, s)
-        dgates, dh = np.empty_like(gates), np.zeros((lanes, s), np.float32)
-        grads["h"] = np.zeros_like(w["h"])
-        du = np.empty((lanes, 3 * s), np.float32)
+        by_n = 1 - candidate * candidate
+        by_n *= 1 - z
+        by_z = (before - candidate) * z
+        by_z *= 1 - z
+        by_r = un * r
+        by_r *= 1 - r
+        # du: what reaches the three parts of the states' matrix; dn: the candidates, whose part of du is behind the reset gate.
+        du, dn, back = np.empty_like(gates), np.empty_like(state), _three(w["h"]).transpose(0, 2, 1)
+        dh = np.zeros((lanes, s), x.dtype)
         for t in range(steps - 1, -1, -1):
-            _, z, r, nn, un = kept[t]
-            dh = dh + d[t]
-            dn = dh * (1 - z) * (1 - nn * nn)
-            dz = dh * (before[t] - nn) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            dgates[t, :, :s], dgates[t, :, s : 2 * s], dgates[t, :, 2 * s :] = dz, dr, dn
-            du[:, :s], du[:, s : 2 * s], du[:, 2 * s :] = dz, dr, dn * r
-            grads["h"] += before[t].T @ du
-            dh = (dh * z + du @ w["h"].T) * keep[t]
-        dgates = dgates.reshape(n, -1)
-        grads["x"], grads["b"] = x.T @ dgates, dgates.sum(axis=0)
-        dx = dgates @ w["x"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        ids = inputs.ravel()[order]
+            dh += d[t]
+            own = du[:, t]
+            np.multiply(dh, by_n[t], out=dn[t])
+            np.multiply(dh, by_z[t], out=own[0])
+            np.multiply(dn[t], by_r[t], out=own[1])
+            np.multiply(dn[t], r[t], out=own[2])
+            dh *= z[t]
+            for part in np.matmul(own, back):
+                dh += part
+            dh *= keep[t]
+        du, flat_of = du.reshape(3, n, s), lambda three: three.transpose(1, 0, 2).reshape(-1, 3 * s)
+        grads["h"] = flat_of(np.matmul(before.reshape(n, s).T, du))
+        du[2] = dn.reshape(n, s)
+        grads["x"], grads["b"] = flat_of(np.matmul(x.T, du)), (ones @ du).ravel()
+        dx = np.matmul(du, _three(w["x"]).transpose(0, 2, 1)).sum(axis=0)
+        order = np.argsort(shown.astype(np.uint16), kind="stable")
+        ids = shown[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        touched, dx = ids[first], np.add.reduceat(dx[order], first, axis=0)
+        # Sums of equal inputs, as differences of running sums.
+        dx = np.cumsum(dx[order], axis=0, dtype=np.float64)[np.append(first[1:], n) - 1]
+        dx[1:] -= dx[:-1].copy()
+        touched, dx = ids[first], dx.astype(x.dtype)
         for name, g in grads.items():
-            g *= n / 64
+            g *= 1 / 64
             np.clip(g, -2, 2, out=g)
             seen[name] += g * g
-            w[name] -= RATE * g / np.sqrt(seen[name])
-        dx *= n / 64
+            g /= np.sqrt(seen[name])
+            g *= RATE
+            w[name] -= g
+        dx *= 1 / 64
         seen["in"][touched] += dx * dx
         w["in"][touched] -= RATE * dx / np.sqrt(seen["in"][touched])
         return h, loss
 
 
-
 def fresh_sums(model: Model) -> dict[str, np.ndarray]:
     return {k: np.full_like(v, 0.1) for k, v in model.w.items()}
 
@@ -330,38 +358,55 @@ def _averaged(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(fold, "n double, data binary")
 
 
-def trained(train: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """train: (doc_id, text). Tasks train copies of the model, each on its own documents, one slice of them a round; the copies are averaged. Every document is in one round."""
-    spark = train.sparkSession
-    own = train.withColumn("round", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds))).cast("int"))
-    own = staged(own.select("round", "text"), "lm-train")
+def trained(texts: DataFrame, vocabulary: Vocabulary, tokens: int, rounds: int = ROUNDS) -> Model:
+    """texts: (doc_id, targets: unsigned 16-bit numbers), `tokens` of them in all. Copies of the model, as many as the tokens ask for, train on texts
+    dealt by a hash of their id, one slice of them a round, in the order of another hash; after a round the copies are averaged, weighted by
+    their tokens. Every text is in one round, and nothing depends on how the rows were partitioned."""
+    spark = texts.sparkSession
+    copies = max(1, min(COPIES, -(-tokens // COPY)))
+    key = lambda seed: F.xxhash64("doc_id", F.lit(seed))
+    own = texts.select(F.pmod(key(1), F.lit(rounds)).cast("int").alias("round"), F.pmod(key(2), F.lit(copies)).cast("int").alias("copy"), key(3).alias("place"), "targets")
     model = Model.fresh(vocabulary)
-    sums = fresh_sums(model)
-    number = vocabulary.number
-    heads = len(number)
+    sums, heads = fresh_sums(model), model.heads
+    shapes = [{k: np.zeros(v.shape, np.bool_) for k, v in x.items()} for x in (model.w, sums)]
     for r in range(rounds):
-        sent = spark.sparkContext.broadcast((_dump(model.w), _dump(sums), number))
-        like_w, like_s, end = {k: np.zeros(v.shape, np.bool_) for k, v in model.w.items()}, {k: np.zeros(v.shape, np.bool_) for k, v in sums.items()}, model.end
+        sent = spark.sparkContext.broadcast((_dump(model.w), _dump(sums)))
+
+        def run(batches, sent=sent, end=model.end):
+            state, held, waiting, total, count = None, None, [], 0, 0
+
+            def learn():
+                nonlocal waiting, total
+                if waiting:
+                    state[0].train(np.concatenate(waiting), state[1])
+                waiting, total = [], 0
+
+            def done():
+                learn()
+                return pa.RecordBatch.from_arrays([pa.array([float(count)]), pa.array([_dump(state[0].w) + _dump(state[1])])], names=["n", "data"])
 
-        def run(batches, sent=sent, like_w=like_w, like_s=like_s, end=end):
-            w, s, known = sent.value
-            copy, seen, count = Model(_load(w, like_w), heads, end), _load(s, like_s), 0
             for batch in batches:
-                for some in in_chunks(batch.column(0).to_pylist(), lambda t: len(t) + 1, 16 << 20):
-                    tokens = np.array([known[x] if x in known else heads + tail_class(x) for t in some for x in (*t.lower().split(), END)], np.int64)
-                    copy.train(tokens, seen)
-                    count += len(tokens)
-            if count:
-                yield pa.RecordBatch.from_arrays([pa.array([float(count)]), pa.array([_dump(copy.w) + _dump(seen)])], names=["n", "data"])
-
-        copies = own.filter(F.col("round") == r).select("text").mapInArrow(run, "n double, data binary")
-        rows = _averaged(_averaged(copies.repartition(16)).repartition(1)).collect()
+                for copy, targets in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if copy != held:
+                        if state:
+                            yield done()
+                        w, s = sent.value
+                        state, held, count = (Model(_load(w, shapes[0]), heads, end), _load(s, shapes[1])), copy, 0
+                    waiting.append(np.frombuffer(targets.as_buffer(), np.uint16))
+                    total, count = total + len(waiting[-1]), count + len(waiting[-1])
+                    if total >= STREAM:
+                        learn()
+            if state:
+                yield done()
+
+        dealt = own.filter(F.col("round") == r).repartitionById(copies, "copy").sortWithinPartitions("copy", "place", "targets")
+        trained_copies = dealt.select("copy", "targets").mapInArrow(run, "n double, data binary")
+        rows = _averaged(_averaged(trained_copies.repartition(16)).repartition(1)).collect()
         sent.unpersist()
         if rows:
             data = bytes(rows[0].data)
             half = 4 * sum(v.size for v in model.w.values())
-            w, s = _load(data[:half], model.w), _load(data[half:], sums)
-            model.w, sums = w, s
+            model.w, sums = _load(data[:half], model.w), _load(data[half:], sums)
     return model
 
 
@@ -400,65 +445,69 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
             tail_v[tail_class(w)] -= 1
     weight = np.concatenate([np.array([n + SMOOTH for _, n in head]), tail_n + SMOOTH * (tail_v + 1)])
     vocabulary = Vocabulary(number, np.log(weight / weight.sum()))
-    model = trained(train, vocabulary)
-    spark = docs.sparkSession
     inside = np.log10(tail_n + SMOOTH * (tail_v + 1))
-    # count: of words outside the head the tail class too; what is not here is joined.
-    listed = {w: n for w, n in top}
-    sent = spark.sparkContext.broadcast((model.w, number, listed, inside))
+    # Of each listed word: its target, log10 of its smoothed count, the same less that of its tail class (0 in the head), whether known. Words that are not listed are joined.
     heads, complete = len(number), len(top) == distinct
+    facts = np.array([(number[w], math.log10(n + SMOOTH), 0.0, n > 0) if w in number else (heads + tail_class(w), math.log10(n + SMOOTH), math.log10(n + SMOOTH) - inside[tail_class(w)], 1) for w, n in dict([*top, *head]).items()])
+    spark = docs.sparkSession
+    words = spark.sparkContext.broadcast(({w: k for k, w in enumerate(dict([*top, *head]))}, *np.ascontiguousarray(facts.T)))
     base_down, log10e = math.log10(total + SMOOTH * (distinct + 1)), math.log10(math.e)
+    unlisted = math.log10(SMOOTH) if complete else 0.0
 
-    def run(batches):
-        w, own, many, within = sent.value
-        scorer = Model(w, heads)
-        # Of each word met: its target, log10 of its smoothed count (nan: to be joined), the same for the model (0 in the head), whether known.
-        place: dict[bytes, int] = {}
-        facts = np.zeros((1 << 16, 4))
-        unknown = math.log10(SMOOTH)
-        def scores(ids, targets, rows):
-            columns = [ids, *zip(*rows, strict=True)]
-            columns[4] = [a + float(b) * log10e for a, b in zip(columns[4], scorer.score(targets), strict=True)]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_tokens", "n_known", "base_score", "score", "away"])
-
-        # Texts are gathered as numbers, so that the few longest of many go through time together.
-        ids, targets, rows, held = [], [], [], 0
+    def encode(batches):
+        listed, target, base, own, seen = words.value
+        target = target.astype(np.uint16)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = text.as_py().lower().split()
-                words.append(END)
-                if len(place) > 250_000:
-                    place.clear()
-                for x in set(words).difference(place):
-                    n, i = many.get(x), own.get(x)
-                    c = math.log10(n + SMOOTH) if n is not None else (unknown if complete else math.nan)
-                    place[x] = k = len(place)
-                    if k == len(facts):
-                        facts = np.concatenate([facts, np.zeros_like(facts)])
-                    if i is not None:
-                        facts[k] = i, c, 0.0, n > 0
-                    else:
-                        t = tail_class(x)
-                        facts[k] = heads + t, c, c - within[t], n is not None
-                columns = facts[np.fromiter(map(place.__getitem__, words), np.int64, len(words))]
-                lost = np.flatnonzero(np.isnan(columns[:, 1]))
-                if len(lost):
-                    columns[lost, 1] = 0.0
-                    columns[lost, 2] = -within[columns[lost, 0].astype(np.int64) - heads]
-                ids.append(doc)
-                targets.append(columns[:, 0].astype(np.uint16))
-                rows.append((len(words), int(columns[:, 3].sum()), float(columns[:, 1].sum()) - base_down * len(words), float(columns[:, 2].sum()), [words[p] for p in lost.tolist()]))
-                held += len(words)
-                if held > UNIT:
-                    yield scores(ids, targets, rows)
-                    ids, targets, rows, held = [], [], [], 0
-        if rows:
-            yield scores(ids, targets, rows)
+            for some in in_chunks(zip(batch.column(0).to_pylist(), batch.column(1), strict=True), lambda r: len(r[1].as_buffer()) + 64, 1 << 20):
+                split = [(*text.as_py().lower().split(), END) for _, text in some]
+                sizes = np.array([len(x) for x in split])
+                starts = np.cumsum(sizes) - sizes
+                place = np.fromiter(map(listed.get, chain.from_iterable(split), repeat(-1)), np.int64, int(sizes.sum()))
+                columns = [x[place] for x in (target, base, own, seen)]
+                lost = np.flatnonzero(place < 0)
+                owner = np.searchsorted(starts, lost, "right") - 1
+                strange = [split[i][p] for i, p in zip(owner.tolist(), (lost - starts[owner]).tolist(), strict=True)]
+                tails = np.fromiter(map(tail_class, strange), np.int64, len(strange))
+                columns[0][lost], columns[1][lost], columns[2][lost], columns[3][lost] = heads + tails, unlisted, unlisted - inside[tails], 0
+                away: list[Counter[bytes]] = [Counter() for _ in some]
+                if not complete:
+                    for i, w in zip(owner.tolist(), strange, strict=True):
+                        away[i][w] += 1
+                sums = [np.add.reduceat(x, starts) for x in columns[1:]]
+                targets = [columns[0][a : a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+                out = ([d for d, _ in some], sizes, sums[2].astype(np.int64), sums[0] - base_down * sizes, sums[1], targets, [list(x) for x in away], [list(x.values()) for x in away])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "n_tokens", "n_known", "base_score", "score", "targets", "away", "times"])
+
+    coded = texts.mapInArrow(encode, "doc_id long, n_tokens long, n_known long, base_score double, score double, targets binary, away array<binary>, times array<int>")
+    coded = staged(coded.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    model = trained(coded.filter(~held_out("doc_id", folds)).select("doc_id", "targets"), vocabulary, total)
+    sent = spark.sparkContext.broadcast(model.w)
+
+    def score(batches):
+        scorer = Model(sent.value, heads)
+        # Texts are gathered as numbers, so that the few longest of many go through time together.
+        held, targets, size = [], [], 0
 
-    rows = staged(texts.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double, away array<binary>").withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    away = rows.filter(F.size("away") > 0).select("row", F.explode("away").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
+        def scores():
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            total = rows.column(4).to_numpy() + scorer.score(targets) * log10e
+            return pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array(total), rows.column(5)], names=rows.schema.names)
+
+        for batch in batches:
+            own = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column(6)]
+            held.append(batch.select(range(6)))
+            targets += own
+            size += sum(map(len, own))
+            if size > UNIT:
+                yield scores()
+                held, targets, size = [], [], 0
+        if targets:
+            yield scores()
+
+    away = coded.filter(F.size("away") > 0).select("row", F.explode(F.arrays_zip("away", "times")).alias("one")).select("row", F.col("one.away").alias("word"), F.col("one.times").alias("times"))
     found = away.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
-    done = rows.drop("away").join(found, "row", "left")
+    rows = coded.select("doc_id", "n_tokens", "n_known", "base_score", "score", "row", "targets").mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double, row long")
+    done = rows.join(found, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return done.select("doc_id", held_out("doc_id", folds).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
