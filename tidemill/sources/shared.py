@@ -8,8 +8,11 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset (tests, one machine) is a local folder set."""
+    """spark.checkpoint.dir; only where that is unset and Spark runs in one process (tests, one machine) is a local folder set."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemill-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemill-"))
     return context.getCheckpointDir()
