@@ -92,7 +92,16 @@ def test_sharding(spark, docs):
     for r in rows(spark, "op6_sharding"):
         by[r.shard].append(r)
     assert sorted(r.doc_id for s in by.values() for r in s) == sorted(i for i, _ in docs)
-    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in by.values()) and set(by) <= set(range(40))
+    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in by.values()) and set(by) == set(range(40))
+    sizes = [sum(r.size for r in s) for s in by.values()]
+    # Documents and groups of equal texts that stay whole are as far as sizes can be off.
+    mean, largest = sum(sizes) / 40, max(r.size for s in by.values() for r in s)
+    assert max(sizes) < mean + 2 * largest and min(sizes) > mean - 2 * largest
+    where = defaultdict(set)
+    for s in by.values():
+        for r in s:
+            where[r.text_crc32].add((r.shard, r.group_split))
+    assert all(len(x) == 1 or all(split for _, split in x) for x in where.values())
     text = dict(docs)
     assert all(r.size == len(text[r.doc_id].encode()) + 16 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for s in by.values() for r in s)
 

@@ -59,6 +59,28 @@ def test_quality_order_does_not_change_the_verdict(spark):
     assert sorted(one) == sorted(two) and {x.kept for x in one} == {True, False}
 
 
+def test_quality_short_circuit(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    rows = [(i, text(300) + (" # $ %" * 60 if i % 2 else "")) for i in range(200)] + [(999, text(30_000)), (1000, None)]
+    found = quality.estimates(docs(spark, rows), rows=100)
+    assert found["symbols"][0] > 0 and all(r[1] == found["symbols"][1] > 30 for r in found.values()) and found["one_word"][2] > 0
+    order = quality.cascade_order(docs(spark, rows), rows=100)
+    assert sorted(order) == sorted(quality.RULES) and order[0] == "symbols"
+    calls = lambda names: quality.quality(docs(spark, rows), order=names).selectExpr("sum(calls)").first()[0]
+    assert calls(order) == 100 * 1 + 101 * 6 < calls([x for x in order if x != "symbols"] + ["symbols"]) == 201 * 6
+    # Measures that only later rules look at are not made.
+    lean = {r.doc_id: r for r in quality.quality(docs(spark, rows), order=order, measures=False).collect()}
+    assert lean[1].rejected_by == "symbols" and lean[1].n_symbols > 0 and lean[1].word_chars is lean[1].n_dup_lines is None
+    assert lean[0].kept and lean[0].word_chars and lean[999].kept
+
+
+def test_few_words_at_any_length(spark):
+    rng = np.random.default_rng(7)
+    rows = [(n, " ".join(f"w{x}" for x in rng.integers(0, 40, n))) for n in (900, 4_999, 5_000, 20_000)]
+    assert all(quality.RULES["few_words"](quality.Text(t)) for n, t in rows)
+
+
 def test_packing(spark):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

@@ -6,7 +6,7 @@ import re
 import time
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -17,20 +17,9 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = "\x20\t\n\x0b\x0c\r"
 _LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string"
-
-
-@dataclass
-class Text:
-    """A text with what the rules look at."""
-
-    text: str
-    words: list[bytes]
-    word_chars: int
-    n_symbols: int
-    lines: int
-    n_dup_lines: int
-    n_repeat_words: int
+SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string, calls long"
+#: Rows of the sample on which rules are timed, about.
+SAMPLE = 1024
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -54,28 +43,44 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def measured(text: str | None) -> Text:
-    text = text or ""
-    words = text.encode("utf-8", "surrogatepass").split()
-    blanks = sum(map(text.count, BLANKS))
-    seen: set[str] = set()
-    lines = dup = 0
-    for line in text.split("\n"):
-        if line.strip(BLANKS):
-            lines += 1
-            dup += line in seen
-            seen.add(line)
-    return Text(text, words, len(text) - blanks, sum(map(text.count, SYMBOLS)), lines, dup, repeated_words(words))
+class Text:
+    """A text with what the rules look at, each measured when it is first asked for: what no rule asks for costs nothing."""
+
+    def __init__(self, text: str | None):
+        self.text = text or ""
+
+    @cached_property
+    def words(self) -> list[bytes]:
+        return self.text.encode("utf-8", "surrogatepass").split()
+
+    @cached_property
+    def word_chars(self) -> int:
+        return len(self.text) - sum(map(self.text.count, BLANKS))
+
+    @cached_property
+    def n_symbols(self) -> int:
+        return sum(map(self.text.count, SYMBOLS))
+
+    @cached_property
+    def lines(self) -> tuple[int, int]:
+        """(lines with a word, those of them that are equal to an earlier one)."""
+        own = [x for x in self.text.split("\n") if x.strip(BLANKS)]
+        return len(own), len(own) - len(set(own))
+
+    @cached_property
+    def n_repeat_words(self) -> int:
+        return repeated_words(self.words)
 
 
 #: Each rule rejects a text; none depends on another, so their order changes the cost but not the verdict. Only texts that pass the base rule get here.
 RULES: dict[str, Callable[[Text], bool]] = {
     "symbols": lambda t: t.n_symbols > 0.3 * len(t.words),
-    "line_repeats": lambda t: t.lines >= 4 and t.n_dup_lines > 0.6 * t.lines,
+    "line_repeats": lambda t: t.lines[0] >= 4 and t.lines[1] > 0.6 * t.lines[0],
     "word_length": lambda t: not 2 <= t.word_chars / len(t.words) <= 25,
     "no_letters": lambda t: sum(1 for w in t.words if _LETTER.search(w)) < 0.6 * len(t.words),
     "one_word": lambda t: max(Counter(t.words).values()) > 0.5 * len(t.words),
-    "few_words": lambda t: len(set(t.words)) < 0.05 * len(t.words) and len(t.words) < 5000,
+    # Distinct words grow about as the root of a text's length.
+    "few_words": lambda t: len(set(t.words)) ** 2 < 2 * len(t.words),
 }
 
 
@@ -83,36 +88,70 @@ def base_failed(t: Text) -> bool:
     return len(t.words) < 50 or 100 * t.n_repeat_words > 50 * len(t.words)
 
 
-def cascade_order(docs: DataFrame, text_col: str = "text", rows: int = 512, rules: dict[str, Callable[[Text], bool]] = RULES) -> list[str]:
-    """Names of the rules by rejections per second, measured on at most `rows` rows; rules that reject nothing there go by cost."""
-    sample = [measured(r[0]) for r in docs.select(text_col).sample(0.05, seed=7).limit(rows).collect()]
-    sample = [t for t in sample if not base_failed(t)]
-    rate = {}
-    for name, rule in rules.items():
-        began = time.perf_counter()
-        rejected = sum(rule(t) for t in sample)
-        cost = (time.perf_counter() - began) / max(1, len(sample)) + 1e-9
-        rate[name] = ((rejected + 0.01) / (len(sample) + 1)) / cost
-    return sorted(rules, key=rate.get, reverse=True)
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def estimates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE, rules: dict[str, Callable[[Text], bool]] | None = None) -> dict[str, tuple[int, int, float]]:
+    """Of each rule (texts that it rejects, texts tried, seconds), on a sample of about `rows` rows, drawn from the whole table by a hash of id and
+    length. The rules run where the rows are, each on a fresh text, so it pays for its own measures; only sums reach the driver."""
+    own = RULES if rules is None else rules
+    every = max(1, docs.count() // rows)
+
+    def run(batches):
+        found = {name: [0, 0, 0.0] for name in own}
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if base_failed(Text(text)):
+                    continue
+                for name, rule in own.items():
+                    t = Text(text)
+                    t.words  # every rule needs them, and so did the base rule
+                    began = time.perf_counter()
+                    rejected = rule(t)
+                    sums = found[name]
+                    sums[0], sums[1], sums[2] = sums[0] + rejected, sums[1] + 1, sums[2] + time.perf_counter() - began
+        yield pa.RecordBatch.from_arrays([pa.array(list(found)), *[pa.array([x[i] for x in found.values()], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.float64()))]], names=["rule", "rejected", "tried", "seconds"])
+
+    sample = _rows(docs, id_col, text_col).filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(every)) == 0).select("text")
+    sums = sample.mapInArrow(run, "rule string, rejected long, tried long, seconds double").groupBy("rule").agg(F.sum("rejected").alias("rejected"), F.sum("tried").alias("tried"), F.sum("seconds").alias("seconds"))
+    return {name: (0, 0, 0.0) for name in own} | {r.rule: (r.rejected, r.tried, r.seconds) for r in sums.collect()}
+
+
+def cascade_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE, rules: dict[str, Callable[[Text], bool]] | None = None) -> list[str]:
+    """Names of the rules by rejections per second on the sample; rules that reject nothing there go by cost."""
+    found = estimates(docs, id_col, text_col, rows, rules)
+    rate = {name: ((rejected + 0.01) / (tried + 1)) / (seconds / max(1, tried) + 1e-9) for name, (rejected, tried, seconds) in found.items()}
+    return sorted(found, key=lambda name: (-rate[name], name))
+
 
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: list[str] | None = None, measures: bool = True) -> DataFrame:
+    """One row per document: the base measures, base_failed, kept, the rule that rejected it (`base` for the base rule), and how many rules were called.
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: list[str] | None = None) -> DataFrame:
-    """One row per document: the base measures, base_failed, kept and the rule that rejected it (`base` for the base rule).
+    Rules are called in the order given, or else in cascade_order(), up to the first that rejects; a measure that only later rules look at is
+    not made. With measures, the base ones are made for the output in any case, and what the cascade saves are the passes that rules make
+    themselves; without, columns word_chars, n_symbols and n_dup_lines are null where no rule asked for them.
 
     Texts are whole. A null or empty text has no words, so it fails the base rule; a null id stays null; repeated rows give repeated rows;
     other columns of docs are not read; an empty table gives no rows. The map needs no shuffle: a lost executor costs its own tasks only.
     """
-    names = order or cascade_order(docs, text_col)
+    names = cascade_order(docs, id_col, text_col) if order is None else order
 
     def run(batches):
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = measured(text)
+                t, calls = Text(text), 0
                 failed = base_failed(t)
-                by = "base" if failed else next((name for name in names if RULES[name](t)), None)
-                out.append((doc, len(t.words), t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, failed, by is None, by))
-            kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.string()]
+                by = "base" if failed else None
+                for name in () if failed else names:
+                    calls += 1
+                    if RULES[name](t):
+                        by = name
+                        break
+                seen = [getattr(t, m) if measures or m in t.__dict__ else None for m in ("word_chars", "n_symbols", "lines")]
+                out.append((doc, len(t.words), *seen[:2], seen[2] and seen[2][1], t.n_repeat_words, failed, by is None, by, calls))
+            kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], k) for k in kinds], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return _rows(docs, id_col, text_col).mapInArrow(run, SCHEMA)

@@ -39,7 +39,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
-    return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "group_split")
 
 
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,6 @@ ORACLE = {
              v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND NOT (n_symbols > 0.3 * n_words OR (n_lines >= 4 AND n_dup_lines > 0.6 * n_lines) OR word_chars < 2 * n_words OR word_chars > 25 * n_words
-                                        OR with_letters < 0.6 * n_words OR most > 0.5 * n_words OR (distinct_words < 0.05 * n_words AND n_words < 5000)) AS kept
+                                        OR with_letters < 0.6 * n_words OR most > 0.5 * n_words OR distinct_words * distinct_words < 2 * n_words) AS kept
         FROM v""",
 }
