@@ -13,8 +13,9 @@ def test_label_model_recovers_accuracies_and_shared_votes():
     accuracy = [0.95, 0.9, 0.85, 0.8]
     votes = np.stack([np.where(rng.random(6000) < a, y, ~y) * 2 - 1 for a in accuracy], axis=1)
     copied = np.concatenate([votes, votes[:, 3:], votes[:, 3:]], axis=1)
-    model = LabelModel.fitted(copied, np.where((votes.sum(axis=1) > 0), 0.8, 0.1))
+    model = LabelModel.fitted(copied, np.where((votes.sum(axis=1) > 0), 0.8, 0.1), 0.2)
     assert np.abs(model.accuracies()[:4] - accuracy).max() < 0.06
+    assert abs(model.posterior(copied).mean() - 0.2) < 0.01
     assert model.correlation[4, 5] > 0.9 and ((model.posterior(copied) > 0.5) == y).mean() > 0.94
 
 
@@ -40,3 +41,22 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert toxicity(docs.limit(0), labels).count() == 0 and {r.predicted for r in toxicity(docs, labels.limit(0)).collect()} == {0}
     flipped = labels.withColumn("toxic", __import__("pyspark").sql.functions.when(held_out("doc_id", 5), 1).otherwise(labels["toxic"]))
     assert sorted(map(str, toxicity(docs, flipped).collect())) == sorted(map(str, got))
+
+
+def test_label_model_sees_votes_only_and_rare_entries_count(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows, gold = [], []
+    for i in range(1200):
+        bad = i % 6 == 0
+        words = [f"v{x}" for x in rng.integers(0, 200, 40)] + ([f"qoz{'bdfghjklmnprstvxz'[i // 6 % 17]}ula"] if bad else [])
+        rows.append((i, " ".join(words)))
+        gold.append((i, 1, int(bad if i % 50 else not bad)))
+    seen, fitted = {}, LabelModel.fitted
+    monkeypatch.setattr(LabelModel, "fitted", staticmethod(lambda votes, start, balance: seen.update(votes=votes, start=start) or fitted(votes, start, balance)))
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(gold, "doc_id long, quality int, toxic int")).collect()
+    # Of the rows whose given label is wrong nearly all are told by their words: the labels are no votes.
+    wrong = [r for r in got if r.doc_id % 50 == 0]
+    assert np.mean([r.predicted == (r.doc_id % 6 == 0) for r in wrong]) > 0.9
+    # About eleven rows hold each of the words, one in a hundred of all.
+    assert np.mean([r.predicted for r in got if r.doc_id % 6 == 0]) > 0.95 and np.mean([r.predicted for r in got if r.doc_id % 6]) < 0.02
+    assert seen["votes"].shape[0] == len(seen["start"]) and len(set(seen["start"])) == 2

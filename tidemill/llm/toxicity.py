@@ -16,8 +16,10 @@ from .common import in_chunks, staged
 
 #: Labelled rows that are learned from, at most (about: they are chosen by a hash of their id). Lexicons, label model and classifier see no others.
 LABELLED = 40_000
-#: Entries of all lexicons together, at most.
-ENTRIES = 4_000
+#: Toxic rows in which a word, beginning or ending must be found to become an entry.
+LEAST = 3
+#: Words whose features a task remembers, and features that it counts before it hands on partial sums.
+REMEMBERED, COUNTED = 50_000, 300_000
 #: Lexicons into which the entries are dealt, for each kind of entry and strength.
 LEXICONS = 3
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -36,7 +38,7 @@ def features_of(text: bytes, known: dict[bytes, list[str]]) -> set[str]:
     found: set[str] = set()
     for w in set(text.split()):
         if w not in known:
-            if len(known) > 300_000:
+            if len(known) > REMEMBERED:
                 known.clear()
             known[w] = parts(w.decode("utf-8", "replace"))
         found.update(known[w])
@@ -115,21 +117,24 @@ def covering(found: list[np.ndarray], clean: np.ndarray, least: int = 3) -> np.n
 
 @dataclass
 class LabelModel:
-    """P(vote of voter j | class) and the voters' residual correlations; voters that repeat each other share their weight."""
+    """P(vote of voter j | class), the voters' residual correlations, and the log odds that are added so that the mean posterior is the class balance.
 
-    prior: float
+    Voters that repeat each other share their weight: m copies of one count as the root of m.
+    """
+
+    balance: float
     table: np.ndarray  # class, voter, vote + 1
     correlation: np.ndarray
+    offset: float = 0.0
 
     @staticmethod
-    def fitted(votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
-        """Expectation-maximisation from the posteriors in start."""
+    def fitted(votes: np.ndarray, start: np.ndarray, balance: float, rounds: int = 25) -> LabelModel:
+        """Expectation-maximisation from the posteriors in start, with a known share of toxic texts. It sees votes only."""
         p = np.clip(start, 0.001, 0.999)
         n, m = votes.shape
         hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
         model = None
         for _ in range(rounds):
-            prior = float(np.clip(p.mean(), 1e-3, 1 - 1e-3))
             table = np.stack([np.einsum("i,ijk->jk", q, hot) + 0.05 for q in (1 - p, p)])
             table /= table.sum(axis=2, keepdims=True)
             expected = np.einsum("ci,cj->ij", np.stack([1 - p, p]), table[:, :, 2] - table[:, :, 0])
@@ -137,28 +142,36 @@ class LabelModel:
             spread = np.sqrt((left**2).mean(axis=0)) + 1e-6
             correlation = (left.T @ left) / n / np.outer(spread, spread) if n else np.eye(m)
             np.fill_diagonal(correlation, 1.0)
-            model = LabelModel(prior, table, correlation)
-            new = model.posterior(votes)
+            model = LabelModel(balance, table, correlation)
+            odds, low, high = model.odds(votes), -100.0, 100.0
+            for _ in range(60):
+                model.offset = (low + high) / 2
+                low, high = (model.offset, high) if _logistic(odds + model.offset).mean() < balance else (low, model.offset)
+            new = _logistic(odds + model.offset)
             if np.abs(new - p).max() < 1e-4:
                 break
             p = new
         return model
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
-        weight = 1 / np.clip(self.correlation * (np.abs(self.correlation) > 0.1), 0, None).sum(axis=1)
+    def odds(self, votes: np.ndarray) -> np.ndarray:
+        weight = 1 / np.sqrt(np.clip(self.correlation * (np.abs(self.correlation) > 0.1), 0, None).sum(axis=1))
         ratio = np.log(self.table[1]) - np.log(self.table[0])
-        odds = np.log(self.prior) - np.log1p(-self.prior)
-        for v in (-1, 0, 1):
-            odds = odds + (votes == v) @ (weight * ratio[:, v + 1])
-        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        return sum((votes == v) @ (weight * ratio[:, v + 1]) for v in (-1, 0, 1))
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        return _logistic(self.odds(votes) + self.offset)
 
     def accuracies(self) -> np.ndarray:
         """How often each voter is right when it votes."""
-        right = self.prior * self.table[1, :, 2] + (1 - self.prior) * self.table[0, :, 0]
-        all_ = self.prior * (self.table[1, :, 2] + self.table[1, :, 0]) + (1 - self.prior) * (self.table[0, :, 0] + self.table[0, :, 2])
+        right = self.balance * self.table[1, :, 2] + (1 - self.balance) * self.table[0, :, 0]
+        all_ = self.balance * (self.table[1, :, 2] + self.table[1, :, 0]) + (1 - self.balance) * (self.table[0, :, 0] + self.table[0, :, 2])
         return right / np.maximum(all_, 1e-12)
 
 
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
 def _fit_linear(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, size: int, rounds: int = 1500) -> np.ndarray:
     """Weights (features, extra columns, bias) of a logistic regression on soft targets, by full-batch Adagrad."""
     where = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -192,7 +205,7 @@ class Scorer:
             for w in set(text.split()):
                 hit = known.get(w)
                 if hit is None:
-                    if len(known) > 300_000:
+                    if len(known) > 2 * REMEMBERED:
                         known.clear()
                     hit = known[w] = tuple(p for p in parts(w.decode("utf-8", "replace")) if p in own)
                 if hit:
@@ -205,9 +218,9 @@ class Scorer:
 def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", labelled: int = LABELLED) -> Scorer:
     """Learns from `labels` (id, 0 or 1; other values and null ids are ignored) of the documents in docs, at most about `labelled` of them.
 
-    Entries are words, beginnings and endings that toxic rows have far more often than clean ones. Dealt to lexicons by kind and strength,
-    each lexicon is a voter, as is each pattern, and the given label is one more, of high but not full accuracy. The chosen ids are
-    broadcast (16 bytes each, bounded by `labelled`); entries and votes that reach the driver are bounded by the two parameters.
+    Entries are words, beginnings and endings that toxic rows have far more often than clean ones, however rare. Dealt to lexicons by kind and
+    strength, each lexicon is a voter, as is each pattern; the label model never sees the given labels, which only choose the entries and tell the share of toxic texts. The
+    chosen ids are broadcast (16 bytes each); all that reaches the driver (entries, votes) comes from the `labelled` rows and is bounded by them.
     """
     spark = docs.sparkSession
     gold = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
@@ -237,7 +250,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
                 for text in batch.column(0).to_pylist():
                     found = features_of(text, known)
                     total.update(found if known_features is None else found & known_features)
-                    if len(total) > 1_000_000:
+                    if len(total) > COUNTED:
                         yield from out(total)
                         total.clear()
             yield from out(total)
@@ -253,8 +266,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         return sample.filter(F.col("y") == y).select("text").mapInArrow(counts(known_features), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
     # Rare entries are left out, and so are those that most toxic rows share with clean ones.
-    least = max(3, pos // 400)
-    hits = {r.feature: r.n for r in counted(1, None).filter(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(100_000).collect()}
+    hits = {r.feature: r.n for r in counted(1, None).filter(F.col("n") >= LEAST).collect()}
     miss = {r.feature: r.n for r in counted(0, set(hits)).collect()}
     strength, sure, share = {}, {}, pos / (pos + neg)
     for f, a in hits.items():
@@ -263,7 +275,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         strength[f] = np.log((a + 0.5) / (pos + 1)) - np.log((b + 0.5) / (neg + 1)) - 2.2 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
         # How far beyond chance, among as many candidates.
         sure[f] = a * np.log(a / (a + b) / share) + (b * np.log(b / (a + b) / (1 - share)) if b else 0.0) > np.log(len(hits)) + 4
-    entries = sorted((f for f in strength if strength[f] > 0.7), key=lambda f: (-strength[f], f))[:ENTRIES]
+    entries = sorted((f for f in strength if strength[f] > 0.7), key=lambda f: (-strength[f], f))
     number = {f: i for i, f in enumerate(entries)}
 
     def incidence(batches):
@@ -296,8 +308,12 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     for i, hit in enumerate(found):
         votes[i, voter[hit]] = 1
     none = np.where(votes.any(axis=1), 0, -1)[:, None]
-    votes = np.concatenate([votes, none, marks, np.where(y == 1, 1, -1)[:, None]], axis=1)
-    model = LabelModel.fitted(votes, np.where(y == 1, 0.97, 0.01))
+    # The texts with the most votes, as many as are toxic, are where the model starts from; it finds out how far each voter is to be trusted.
+    share = (votes > 0).mean(axis=1)
+    balance = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
+    start = np.where((share >= np.sort(share)[-max(1, int(balance * len(y)))]) & (share > 0), 0.9, 0.02)
+    votes = np.concatenate([votes, none, marks], axis=1)
+    model = LabelModel.fitted(votes, start, balance)
     target = model.posterior(votes)
     w = _fit_linear(found, marks.astype(float), target, len(entries))
     return Scorer({f: float(w[i]) for f, i in number.items() if w[i]}, w[len(entries) : -1], float(w[-1]), model)
