@@ -11,13 +11,26 @@ from pyspark.sql import functions as F
 from ..sources.shared import shared_dir
 
 
+#: Rows and bytes of an Arrow batch, where the session has Spark's defaults: ten thousand long texts are too much for one batch.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m")}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds what goes to a Python worker at once. Settings other than Spark's defaults are left alone."""
+    for key, (default, bound) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, bound)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """frame as a Parquet table in the shared folder: computed once, read again without its lineage."""
     spark = frame.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
@@ -28,6 +41,17 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+#: Ids that are broadcast at most; more are joined by a shuffle.
+FEW = 1 << 20
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not among ids (one long column of that name, repeats allowed). The ids are staged and counted: up to FEW (8 MB) are
+    broadcast, so the rows, which may hold texts, stay where they are; beyond that both sides are shuffled by key."""
+    gone = staged(ids.select(key).distinct(), "ids")
+    return rows.join(F.broadcast(gone) if gone.count() <= FEW else gone, key, "left_anti")
+
+
 def id_key(column: str) -> F.Column:
     """A null id counts as the largest one: it is never the smaller of two documents."""
     return F.coalesce(F.col(column).cast("long"), F.lit(2**63 - 1))
