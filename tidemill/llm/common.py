@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,34 @@ def id_key(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(2**63 - 1))
 
 
+@cache
+def _c_library():
+    try:
+        library = ctypes.CDLL(None)
+        return library if hasattr(library, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+def trim() -> None:
+    """Gives memory that a Python worker no longer uses back to the system: workers live on after a task, beside those of other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _c_library():
+        _c_library().malloc_trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """work, a generator over batches that runs in a worker, with trim() at its end."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def in_chunks(values: Iterable, size_of, most: int):
     """Lists of consecutive values whose sizes add up to about most at the most."""
     held, total = [], 0

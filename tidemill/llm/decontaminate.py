@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_chunks
+from .common import checkpointed, in_chunks, lean
 from .windows import rolling
 
 WINDOW = 8
@@ -314,7 +314,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield from cut.rows(ids, kind, n, start, h)
 
     theirs = items.select("h", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), "places", F.col("slots").alias("item_slots"))
-    found = side(docs, id_col).mapInArrow(of_docs, SCHEMA).drop("places", "tokens").join(theirs, "h")
+    found = side(docs, id_col).mapInArrow(lean(of_docs), SCHEMA).drop("places", "tokens").join(theirs, "h")
     match = F.struct("kind", "n", "item_pos", "pos", "places", "slots", "item_slots")
     stretch = F.floor(F.col("pos") / (SPREAD * F.col("item_tokens")))
     placed = found.withColumn("stretch", F.explode(F.array(stretch, stretch - 1)))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, staged
+from .common import in_chunks, lean, staged
 
 #: The end of a text; no word is empty.
 END = b""
@@ -322,7 +322,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word: binary, n) over all rows, the end included: counted per task, with partial sums whenever a task holds a million words."""
+    """(word: binary, n) over all rows, the end included: counted per task, with partial sums whenever a task holds half a million words."""
 
     def run(batches):
         total: Counter[bytes] = Counter()
@@ -330,7 +330,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 total.update(text.lower().split())
                 total[END] += 1
-            if len(total) > 1_000_000:
+            if len(total) > 500_000:
                 yield from out(total)
                 total.clear()
         yield from out(total)
@@ -479,7 +479,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
                 out = ([d for d, _ in some], sizes, sums[2].astype(np.int64), sums[0] - base_down * sizes, sums[1], targets, [list(x) for x in away], [list(x.values()) for x in away])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "n_tokens", "n_known", "base_score", "score", "targets", "away", "times"])
 
-    coded = texts.mapInArrow(encode, "doc_id long, n_tokens long, n_known long, base_score double, score double, targets binary, away array<binary>, times array<int>")
+    coded = texts.mapInArrow(lean(encode), "doc_id long, n_tokens long, n_known long, base_score double, score double, targets binary, away array<binary>, times array<int>")
     coded = staged(coded.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     model = trained(coded.filter(~held_out("doc_id", folds)).select("doc_id", "targets"), vocabulary, total)
     sent = spark.sparkContext.broadcast(model.w)
@@ -507,7 +507,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
 
     away = coded.filter(F.size("away") > 0).select("row", F.explode(F.arrays_zip("away", "times")).alias("one")).select("row", F.col("one.away").alias("word"), F.col("one.times").alias("times"))
     found = away.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
-    rows = coded.select("doc_id", "n_tokens", "n_known", "base_score", "score", "row", "targets").mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double, row long")
+    rows = coded.select("doc_id", "n_tokens", "n_known", "base_score", "score", "row", "targets").mapInArrow(lean(score), "doc_id long, n_tokens long, n_known long, base_score double, score double, row long")
     done = rows.join(found, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return done.select("doc_id", held_out("doc_id", folds).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, staged
+from .common import in_chunks, lean, staged
 
 CAPACITY = 2048
 #: Pieces of a group: enough for first-fit decreasing to leave little padding, few enough for one task.
@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for some in in_chunks(rows, lambda r: len(r[2]) + 1, 1 << 22):
+            for some in in_chunks(rows, lambda r: len(r[2]) + 1, 1 << 20):
                 out = []
                 for (row, doc, _), ids in zip(some, encode([r[2] for r in some]), strict=True):
                     ids += end
@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["row_id", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(lean(run), PIECES + (", ids binary" if with_ids else ""))
 
 
 class Tournament:

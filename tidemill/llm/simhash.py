@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, components, id_key, in_chunks, staged
+from .common import checkpointed, components, id_key, in_chunks, lean, staged
 
 SHINGLE, BITS, SEED = 3, 3, 42
 #: Parity checks of the Hamming code of length 31: check k covers the positions (1 to 31) whose number has bit k.
@@ -62,10 +62,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for some in in_chunks(rows, lambda r: len(r[1]) + 1, 1 << 22):
+            for some in in_chunks(rows, lambda r: len(r[1]) + 1, 1 << 21):
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array(fingerprint_batch([r[1] for r in some], shingle).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import id_key, staged
+from .common import id_key, lean, staged, trim
 from .windows import cells, merged, runs, sketched
 
 #: Text bytes of a chunk, of the corpus for each slice of the sketch, and for each bucket of fragments.
@@ -226,7 +226,7 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
         if rows:
             yield _batch(zip(*rows, strict=True), kinds, names)
 
-    chunks = staged(inner.mapInArrow(read, "chunk long, part int, cells binary, rows binary"), "chunks")
+    chunks = staged(inner.mapInArrow(lean(read), "chunk long, part int, cells binary, rows binary"), "chunks")
 
     def by_part(work):
         """work(part, [(chunk, data)]) for each part; rows of a part stand together."""
@@ -258,7 +258,7 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
                 yield _batch(([chunk], [part], [_packed(_planes(np.diff(listed, prepend=np.uint32(0))), np.packbits(np.ones(len(listed), bool)).tobytes())]), kinds[:3], ["chunk", "part", "data"])
 
     together = lambda frame: frame.repartition("part").sortWithinPartitions("part")
-    estimates = staged(together(chunks.filter("part IS NOT NULL").select("part", "chunk", "cells")).mapInArrow(by_part(add), "chunk long, part int, data binary"), "estimates")
+    estimates = staged(together(chunks.filter("part IS NOT NULL").select("part", "chunk", "cells")).mapInArrow(lean(by_part(add)), "chunk long, part int, data binary"), "estimates")
 
     def opened(state: pa.Table, side: pa.Table):
         table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(state["rows"][0].as_py())).read_all()
@@ -268,6 +268,7 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
         return table, texts, keys, c, fragments(unit, c, keys, _Estimates(unit, answers, slices), buckets)
 
     def send(key, state: pa.Table, side: pa.Table) -> pa.Table:
+        trim()
         rows = []
         if len(state) and len(side):
             _, _, keys, c, f = opened(state, side)
@@ -294,9 +295,10 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
 
     states = chunks.filter("part IS NULL").select("chunk", "rows")
     sent = states.groupBy("chunk").cogroup(estimates.groupBy("chunk")).applyInArrow(send, "chunk long, part int, data binary")
-    answered = together(sent.select("part", "chunk", "data")).mapInArrow(by_part(answer), "chunk long, part int, data binary")
+    answered = together(sent.select("part", "chunk", "data")).mapInArrow(lean(by_part(answer)), "chunk long, part int, data binary")
 
     def gather(key, state: pa.Table, side: pa.Table) -> pa.Table:
+        trim()
         table, texts, keys, c, f = opened(state, side)
         gone = None
         if len(f.text):

@@ -19,7 +19,7 @@ class _Digests(dict):
     """128-bit digests of words."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = got = xxhash.xxh3_128_digest(word)
         return got

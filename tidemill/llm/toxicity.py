@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, staged
+from .common import in_chunks, lean, staged
 
 #: Labelled rows that are learned from, at most (about: they are chosen by a hash of their id). Lexicons, label model and classifier see no others.
 LABELLED = 40_000
@@ -233,7 +233,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([likeness(t.as_py()) for t in batch.column(2)], pa.list_(pa.int64()))], names=["id", "y", "text", "bands"])
 
     sample = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).join(F.broadcast(gold), "id").select("id", "y", "text")
-    sample = staged(sample.mapInArrow(marked, "id long, y int, text binary, bands array<long>"), "labelled")
+    sample = staged(sample.mapInArrow(lean(marked), "id long, y int, text binary, bands array<long>"), "labelled")
     # Copies of one toxic text would make its every word look toxic, so each text counts once. Numbers only, of the bounded sample, are compared on the driver.
     once = apart([(r.id, r.y, r.bands) for r in sample.select("id", "y", "bands").collect()])
     sample = sample.join(F.broadcast(spark.createDataFrame([(i,) for i in once], "id long")), "id", "left_semi").select("y", "text")
@@ -263,7 +263,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         return run
 
     def counted(y: int, known_features: set[str] | None) -> DataFrame:
-        return sample.filter(F.col("y") == y).select("text").mapInArrow(counts(known_features), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        return sample.filter(F.col("y") == y).select("text").mapInArrow(lean(counts(known_features)), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
     # Rare entries are left out, and so are those that most toxic rows share with clean ones.
     hits = {r.feature: r.n for r in counted(1, None).filter(F.col("n") >= LEAST).collect()}
@@ -285,7 +285,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
                 own = [sorted(number[f] for f in features_of(t, known) if f in number) for _, t in some]
                 yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in some], pa.int32()), pa.array(own, pa.list_(pa.int32())), pa.array([patterns(t) for _, t in some], pa.list_(pa.int32()))], names=["y", "hits", "patterns"])
 
-    rows = sample.mapInArrow(incidence, "y int, hits array<int>, patterns array<int>").collect()
+    rows = sample.mapInArrow(lean(incidence), "y int, hits array<int>, patterns array<int>").collect()
     y = np.array([r.y for r in rows])
     found = [np.array(r.hits, np.int64) for r in rows]
     marks = np.array([r.patterns for r in rows], np.int64)
@@ -333,7 +333,7 @@ def scored(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: st
     from pyspark.sql import types as T
 
     schema = T.StructType([kept.schema["doc_id"], T.StructField("score", T.DoubleType()), *kept.schema.fields[2:]])
-    got = kept.mapInArrow(run, schema)
+    got = kept.mapInArrow(lean(run), schema)
     return got.select("doc_id", "score", *[F.col(f"carry_{c}").alias(c) for c in carry])
 
 
