@@ -1,7 +1,7 @@
 import pytest
 
 from tests.compare import DATA, agree, needs_data
-from tidemill.plans import catalogue
+from tidemill.plans import catalogue, collection  # noqa: F401
 
 
 @needs_data

@@ -51,6 +51,13 @@ def late_sample(spent: Column, budget: Column, share: float = 0.1) -> Column:
     return F.when(spent >= budget * share, F.least(spent, budget))
 
 
+def fetch_samples(fetches: DataFrame, budget_ms: int, share: float = 0.1) -> DataFrame:
+    """Latency samples (endpoint, ts, id, kind, ms) of timed fetches (endpoint, ts, id, ms, ok): what a good one took, or a failed one as late_sample() says."""
+    budget = F.lit(budget_ms).cast("long")
+    ms = F.when(F.col("ok"), F.col("ms")).otherwise(late_sample(F.col("ms"), budget, share)).cast("long")
+    return fetches.select("endpoint", "ts", "id", F.lit("latency").alias("kind"), ms.alias("ms")).filter("ms > 0")
+
+
 def scaled_timeout(base: Column, latency: Column, o: Options) -> Column:
     scale = F.least(F.greatest(latency / o.latency_ref_ms, F.lit(o.scale_min)), F.lit(o.scale_max))
     return F.when((latency > 0) & (base > 0), base * scale).otherwise(base)

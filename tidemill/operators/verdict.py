@@ -36,6 +36,18 @@ def gate(finished: DataFrame) -> DataFrame:
     return found.withColumn("last", F.col("shards_done") >= F.col("shard_count"))
 
 
+def reset(finished: DataFrame, restarted: DataFrame) -> DataFrame:
+    """finished without the shards (query, shard) that are walked again: they count anew when they finish."""
+    return finished.join(restarted.select("query", "shard"), ["query", "shard"], "left_anti")
+
+
+def run_counters(walks: DataFrame) -> DataFrame:
+    """One row: how many walks (outcome, n_rows) ended in each way, and the rows of those that count."""
+    of = lambda k: F.count_if(F.col("outcome") == k).alias(k)
+    rows = F.coalesce(F.sum(F.when(F.col("outcome") != "failed", F.col("n_rows"))), F.lit(0)).alias("n_rows")
+    return walks.agg(*map(of, ("collected", "shard", "partial", "short", "failed")), rows)
+
+
 def outcome(partial: Column, is_sharded: Column, is_last: Column, short_by: Column, short_before: Column) -> Column:
     """partial, shard, short or collected. A set that is short again is accepted. Shards have no total of their own to compare."""
     return F.when(partial, "partial").when(is_sharded & ~is_last, "shard").when(~is_sharded & short_by.isNotNull() & ~short_before, "short").otherwise("collected")

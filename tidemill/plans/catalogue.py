@@ -408,7 +408,7 @@ def q36_codec_round_trip(spark, d):
 @query("SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem")
 def q37_union_parts(spark, d):
     rows = table(spark, d, "lineitem")
-    parts = [rows.filter(F.month("l_shipdate") % 3 == i) for i in range(3)]
+    parts = [rows.filter(F.coalesce(F.month("l_shipdate"), F.lit(0)) % 3 == i) for i in range(3)]
     keys = parts[0].unionByName(parts[1]).unionByName(parts[2]).select("l_orderkey", "l_partkey", "l_suppkey")
     return keys.distinct()
 

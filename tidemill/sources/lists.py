@@ -86,9 +86,10 @@ def output_rows(spark: SparkSession, path: str, finished: DataFrame | None = Non
 
 
 def counts(spark: SparkSession, path: str) -> DataFrame:
-    """(day, query, n_results, pos) of a count file: lines of three fields or more."""
-    f = F.split("line", "\t")
-    return raw_lines(spark, path).filter(F.size(f) >= 3).select(F.get(f, 0).try_cast("date").alias("day"), query_key(F.get(f, 1)).alias("query"), F.get(f, 2).try_cast("long").alias("n_results"), "pos")
+    """(day, query, n_results, pos) of count files: lines of three fields or more, read line by line. pos grows along each file."""
+    f = F.split("value", "\t")
+    read = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("pos")).filter(F.size(f) >= 3)
+    return read.select(F.get(f, 0).try_cast("date").alias("day"), query_key(F.get(f, 1)).alias("query"), F.get(f, 2).try_cast("long").alias("n_results"), "pos")
 
 
 def checkpoint_text(c: F.Column) -> F.Column:

@@ -170,6 +170,16 @@ def grid_rows(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
     return pages.select(*keep, F.explode(parsed_grid(F.col(body))).alias("r")).select(*keep, "r.*")
 
 
+def attempt_rows(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
+    """Rows of captured answers, whichever engine gave them: JSON where the body is JSON, else the grid in its HTML. `engine` tells which; an
+    application error, and markup without a grid, give no rows. Columns in keep must tell the pages apart only as far as the caller needs."""
+    decoded = decode(pages, body)
+    wanted = [c for c in keep]
+    of_json = page_rows(decoded, *wanted).drop("num_found").withColumn("engine", F.lit("json"))
+    of_html = grid_rows(decoded.filter("verdict = 'not_json'"), *wanted, body=body).withColumn("engine", F.lit("html"))
+    return of_json.unionByName(of_html)
+
+
 def text_content(c: Column) -> Column:
     """HTML's text, entities decoded, tags (line breaks too) worth nothing."""
 

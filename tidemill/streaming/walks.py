@@ -40,27 +40,39 @@ def fold(state: tuple[int, str], results: list[str], most: int) -> tuple[int, st
     return attempts, now
 
 
-def outcomes(attempts: DataFrame, most: int, silent_ms: int = 0) -> DataFrame:
+def after_silence(state: tuple[int, str], most: int) -> tuple[int, str] | None:
+    """(attempts, state) of an open task after a silence, which counts as an attempt; None: the task has ended, and its state goes."""
+    attempts, now = state
+    if now in ("done", "failed"):
+        return None
+    return attempts + 1, "failed" if attempts + 1 > most else "open"
+
+
+def outcomes(attempts: DataFrame, most: int, silent_ms: int = 0, kept_ms: int = 3_600_000) -> DataFrame:
     """attempts: stream of (query, seq, result). Emits (query, attempts, state) whenever a query's attempts change: open, done, failed, or silent after silent_ms without one.
 
-    A finished query's state is dropped with its last row.
+    Silence is an attempt that came to nothing: it is counted, the next one goes on from there, and beyond the last one the task fails. The
+    state of a finished query goes after kept_ms more, in which attempts that come late are told from those of a new task. Without silent_ms
+    there is no timer, so a run over what is available ends, and states stay (an attempt count and a word each).
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            n, _ = state.get
-            state.remove()
-            yield pd.DataFrame({"query": [key[0]], "attempts": [n], "state": ["silent"]})
-            return
-        rows = pd.concat(list(batches)).sort_values("seq")
-        held = fold(state.get if state.exists else (0, "open"), rows["result"].tolist(), most)
+            held = after_silence(state.get, most)
+            if held is None:
+                state.remove()
+                return
+            said = "silent" if held[1] == "open" else held[1]
+        else:
+            rows = pd.concat(list(batches)).sort_values("seq")
+            held = fold(state.get if state.exists else (0, "open"), rows["result"].tolist(), most)
+            said = held[1]
         state.update(held)
-        if held[1] == "open" and silent_ms:
-            state.setTimeoutDuration(silent_ms)
-        yield pd.DataFrame({"query": [key[0]], "attempts": [held[0]], "state": [held[1]]})
+        if silent_ms:
+            state.setTimeoutDuration(silent_ms if held[1] == "open" else kept_ms)
+        yield pd.DataFrame({"query": [key[0]], "attempts": [held[0]], "state": [said]})
 
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if silent_ms else GroupStateTimeout.NoTimeout
-    return attempts.groupBy("query").applyInPandasWithState(step, "query string, attempts int, state string", "attempts int, state string", "update", timeout)
+    return attempts.groupBy("query").applyInPandasWithState(step, "query string, attempts int, state string", "attempts int, state string", "update", GroupStateTimeout.ProcessingTimeTimeout if silent_ms else GroupStateTimeout.NoTimeout)
 
 
 def moving_average(events: DataFrame, by: str, ts: str, value: str, alpha: float) -> DataFrame:
