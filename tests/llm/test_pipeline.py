@@ -76,3 +76,26 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert seen[3] == sorted(clean, key=str) and len(clean) < len(cut)
     assert {r.doc_id for r in now.collect()} == {d[0] for d in clean}
     assert sorted(map(tuple, pipeline.run(spark, path).select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, now.select("doc_id", "start", "length", "ids_crc32").collect()))
+
+
+def test_rows_without_an_id_and_empty_tables(spark, tmp_path):
+    path = str(tmp_path)
+    text = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 3000, n))
+    passage = text(1, 60)
+    rows = [(None, text(2, 80)), (None, text(2, 80)), (None, text(3, 80) + " " + passage), (None, text(4, 80) + " " + passage), (1, text(5, 80)), (None, text(5, 80)), (2, None), (None, None), (3, "")]
+    made = spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    made.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    # Copies without an id are kept once, or not at all beside one with an id.
+    kept = pipeline.near_duplicates(spark, docs, path).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == sorted([("None", text(2, 80)), ("None", text(3, 80) + " " + passage), ("None", text(4, 80) + " " + passage), ("1", text(5, 80)), ("2", "")])
+    # Different texts without an id are different documents: one of two loses the passage.
+    cut = [r.text for r in pipeline.passages(spark, docs, path).collect()]
+    assert sum(passage in t for t in cut) == 1 and len(cut) >= 5
+    assert pipeline.benchmark_passages(spark, docs, path).count() == len(rows)
+    assert {r.doc_id for r in pipeline.run(spark, path).collect()} <= {None, 1, 2, 3}
+    none = docs.limit(0)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, none, path).count() == 0
