@@ -60,3 +60,28 @@ def test_label_model_sees_votes_only_and_rare_entries_count(spark, monkeypatch):
     # About eleven rows hold each of the words, one in a hundred of all.
     assert np.mean([r.predicted for r in got if r.doc_id % 6 == 0]) > 0.95 and np.mean([r.predicted for r in got if r.doc_id % 6]) < 0.02
     assert seen["votes"].shape[0] == len(seen["start"]) and len(set(seen["start"])) == 2
+
+
+def test_labels_without_one_entry_give_the_share(spark):
+    # Every text has its own words, so no word is found in three toxic rows.
+    docs = spark.createDataFrame([(i, " ".join(f"q{i}x{k}!!" for k in range(30))) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    got = toxicity(docs, labels).collect()
+    own = [i for i in range(60) if not next(r for r in got if r.doc_id == i).held_out]
+    share = sum(i % 4 == 0 for i in own) / len(own)
+    assert len(got) == 60 and all(abs(r.score - share) < 1e-9 and r.predicted == 0 for r in got)
+
+
+def test_no_vote_speaks_against_its_class():
+    rng = np.random.default_rng(5)
+    y = rng.random(3000) < 0.3
+    good = np.where(rng.random(3000) < 0.95, y, ~y).astype(int)
+    # A voter for toxic that votes on clean rows mostly, and one for clean that votes on toxic rows.
+    wrong, against = (~y & (rng.random(3000) < 0.8)).astype(int), -(y & (rng.random(3000) < 0.8)).astype(int)
+    votes = np.stack([good, wrong, against], axis=1)
+    model = LabelModel.fitted(votes, np.where(good > 0, 0.9, 0.05), 0.3)
+    weighed = lambda *v: model.odds(np.array([v]))[0]
+    abstained = np.log(model.table[1, :, 1] / model.table[0, :, 1])
+    # A vote moves the odds by no less (for toxic) or no more (for clean) than nothing at all, whatever the abstention says.
+    assert weighed(1, 1, 0) >= weighed(1, 0, 0) - max(0, abstained[1]) and weighed(1, 0, -1) <= weighed(1, 0, 0) - min(0, abstained[2])
+    assert ((model.posterior(votes) > 0.5) == y).mean() > 0.9

@@ -119,7 +119,8 @@ def covering(found: list[np.ndarray], clean: np.ndarray, least: int = 3) -> np.n
 class LabelModel:
     """P(vote of voter j | class), the voters' residual correlations, and the log odds that are added so that the mean posterior is the class balance.
 
-    Voters that repeat each other share their weight: m copies of one count as the root of m.
+    Voters that repeat each other share their weight: m copies of one count as the root of m. A vote never speaks against the class that it
+    names: a voter whose votes are found where the other class is counts for nothing, it is not turned round.
     """
 
     balance: float
@@ -156,6 +157,7 @@ class LabelModel:
     def odds(self, votes: np.ndarray) -> np.ndarray:
         weight = 1 / np.sqrt(np.clip(self.correlation * (np.abs(self.correlation) > 0.1), 0, None).sum(axis=1))
         ratio = np.log(self.table[1]) - np.log(self.table[0])
+        ratio[:, 2], ratio[:, 0] = np.maximum(ratio[:, 2], 0), np.minimum(ratio[:, 0], 0)
         return sum((votes == v) @ (weight * ratio[:, v + 1]) for v in (-1, 0, 1))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
@@ -173,7 +175,8 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def _fit_linear(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, size: int, rounds: int = 1500) -> np.ndarray:
-    """Weights (features, extra columns, bias) of a logistic regression on soft targets, by full-batch Adagrad."""
+    """Weights (features, extra columns, bias) of a logistic regression on soft targets, by full-batch Adagrad. Those of the extra columns, which
+    are votes, stay at 0 or above: a vote for a class never makes it less likely."""
     where = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     what = np.concatenate(rows) if len(where) else np.zeros(0, np.int64)
     w = np.zeros(size + extra.shape[1] + 1)
@@ -186,6 +189,7 @@ def _fit_linear(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, s
         grad[:-1] += 1e-6 * w[:-1]
         seen += grad**2
         w -= 0.5 * grad / np.sqrt(seen)
+        np.maximum(w[size:-1], 0, out=w[size:-1])
     return w
 
 
@@ -215,12 +219,18 @@ class Scorer:
         return out
 
 
+def constant(score: float) -> Scorer:
+    """One score for all texts."""
+    return Scorer({}, np.zeros(len(patterns(b""))), float(np.log(score / (1 - score))))
+
+
 def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", labelled: int = LABELLED) -> Scorer:
     """Learns from `labels` (id, 0 or 1; other values and null ids are ignored) of the documents in docs, at most about `labelled` of them.
 
     Entries are words, beginnings and endings that toxic rows have far more often than clean ones, however rare. Dealt to lexicons by kind and
     strength, each lexicon is a voter, as is each pattern; the label model never sees the given labels, which only choose the entries and tell the share of toxic texts. The
-    chosen ids are broadcast (16 bytes each); all that reaches the driver (entries, votes) comes from the `labelled` rows and is bounded by them.
+    chosen ids are broadcast (16 bytes each). Where the labels are too few to yield one entry, patterns alone say too little: the score is then
+    the share of toxic texts for every text, and without labels of both kinds 0.95 or 0.05. All that reaches the driver (entries, votes) comes from the `labelled` rows and is bounded by them.
     """
     spark = docs.sparkSession
     gold = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
@@ -240,7 +250,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     base = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = base.get(1, 0), base.get(0, 0)
     if not pos or not neg:
-        return Scorer({}, np.zeros(len(patterns(b""))), 3.0 if pos else -3.0)
+        return constant(0.95 if pos else 0.05)
 
     def counts(known_features):
         def run(batches):
@@ -291,6 +301,8 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     marks = np.array([r.patterns for r in rows], np.int64)
     chosen = covering([h for h, label in zip(found, y, strict=True) if label], np.array([miss.get(f, 0) for f in entries], np.int64))
     chosen = np.union1d(chosen, [i for i, f in enumerate(entries) if sure[f]]).astype(np.int64)
+    if not len(chosen):
+        return constant(pos / (pos + neg))
     rank = np.full(len(entries), -1)
     rank[chosen] = np.arange(len(chosen))
     found = [(r := rank[h])[r >= 0] for h in found]
@@ -345,7 +357,7 @@ def held_out(id_col: str, folds: int) -> F.Column:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted. Learns from labels of documents that are not held out only.
 
-    Without labels of both kinds the score is the same for all texts. Null and empty texts are scored like any other; repeated rows
+    Without labels of both kinds, or where they yield no lexicon entry, the score is the same for all texts. Null and empty texts are scored like any other; repeated rows
     give repeated rows; columns of docs other than id and text are not read; an empty table gives no rows.
     """
     own = labels.filter(~held_out(id_col, folds))
