@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, packing, quality, sharding, simhash, substrings, suffixes, toxicity, warc
-from .common import table
+from . import decontaminate, lm, packing, quality, ranking, sharding, simhash, spelling, substrings, suffixes, toxicity, urls, warc
+from .common import staged, table
 
 
 def _removed() -> F.Column:
@@ -62,7 +62,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality)}
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = ranking.ranked(ranking.sale_lines(spark, sf_dir), ["vendor_id", "part", "month"], [("tens", "desc"), ("percent", "asc")], ["sale_id", "line_no", "quantity", "amount_cents"], top=2)
+    return got.select("vendor_id", "part", "month", "pos", "place", "sale_id", "line_no", "quantity", "percent", "amount_cents", "tied")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = staged(spelling.word_counts(table(spark, sf_dir, "documents"), slips=97), "words")
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_toxicity, op3_packing, op4_substrings, op5_simhash, op6_sharding, op7_suffixes, op8_decontaminate, op9_warc, op10_quality, op11_urls, op12_ranking, op13_spelling)}
+
+#: CRC-32 in SQL: `t` is its table of 256, made by its rule; bytes is a list.
+_CRC_TABLE = """(SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i))"""
+
+
+def _crc(bytes_: str) -> str:
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_TERMS = ", ".join(f"('{term}', {weight})" for term, weight in sorted(urls.UNWANTED.weights().items()))
 
 ORACLE = {
     "op4_substrings": r"""
@@ -100,4 +124,46 @@ ORACLE = {
                NOT base_failed AND NOT (n_symbols > 0.3 * n_words OR (n_lines >= 4 AND n_dup_lines > 0.6 * n_lines) OR word_chars < 2 * n_words OR word_chars > 25 * n_words
                                         OR with_letters < 0.6 * n_words OR most > 0.5 * n_words OR distinct_words * distinct_words < 2 * n_words) AS kept
         FROM v""",
+    "op11_urls": rf"""
+        WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+             r AS (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+             h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM r),
+             p AS (SELECT page_id, url, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+             f AS (SELECT *, '.' || host AS dotted FROM p),
+             k AS (SELECT *, CASE WHEN suffix(dotted, '.www.example.com') AND prefix(path, '/en/') THEN 'www.example.com/en/'
+                                  WHEN suffix(dotted, '.example.com') AND prefix(path, '/en/') THEN 'example.com/en/'
+                                  WHEN suffix(dotted, '.net') AND prefix(path, '/es/') THEN 'net/es/'
+                                  WHEN suffix(dotted, '.net') AND prefix(path, '/fr/') THEN 'net/fr/'
+                                  WHEN suffix(dotted, '.com') AND prefix(path, '/') THEN 'com/' END AS rule FROM f),
+             v(term, weight) AS (VALUES {_TERMS}),
+             w AS (SELECT url, sum(weight) AS weight
+                   FROM (SELECT DISTINCT url FROM u) JOIN v ON regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY url)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR weight >= 2 THEN 'block' ELSE 'allow' END AS verdict
+        FROM k LEFT JOIN w USING (url)""",
+    "op12_ranking": f"""
+        WITH l AS (SELECT *, sale_id IS NOT NULL AND {_crc("list_transform(string_split(CAST(sale_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 5 = 0 AS drawn FROM sale_lines, {_CRC_TABLE}),
+             k AS (SELECT CAST(CASE WHEN drawn THEN -1 ELSE vendor_id END AS BIGINT) AS vendor_id, CAST(CASE WHEN drawn THEN -1 ELSE coalesce(item_id % 5, -1) END AS BIGINT) AS part,
+                          CAST(CASE WHEN drawn THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END AS BIGINT) AS month,
+                          floor(quantity / 10) AS tens, CAST(floor(100 * discount + 0.5) AS BIGINT) AS percent, sale_id, CAST(line_no AS BIGINT) AS line_no, CAST(quantity AS BIGINT) AS quantity,
+                          CAST(floor(100 * amount + 0.5) AS BIGINT) AS amount_cents FROM l),
+             n AS (SELECT *, row_number() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS LAST, percent NULLS LAST, sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+                          count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied FROM k)
+        SELECT vendor_id, part, month, pos, pos AS place, sale_id, line_no, quantity, percent, amount_cents, tied FROM n WHERE pos <= 2""",
+    "op13_spelling": rf"""
+        WITH RECURSIVE
+             d AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS raw FROM documents),
+             e AS (SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM d WHERE length(raw) >= 5 GROUP BY ALL),
+             h AS (SELECT run, n, {_crc("""flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                                       lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [CAST(195 AS BIGINT), unicode(x) - 64] END))""")} AS crc FROM e, {_CRC_TABLE}),
+             s AS (SELECT CASE WHEN crc % 97 = 0 THEN substr(run, 1, CAST(crc % length(run) AS BIGINT)) || substr(run, CAST(crc % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM h),
+             v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+             x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+             p AS (SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM x JOIN x AS y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+                   UNION SELECT x.word, x.n, v.word, v.n FROM x JOIN v ON v.word = x.a || x.b
+                   UNION SELECT v.word, v.n, x.word, x.n FROM x JOIN v ON v.word = x.a || x.b),
+             g AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+             f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form, CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n FROM v LEFT JOIN g USING (word)),
+             t(word, root, next) AS (SELECT word, word, form FROM f UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON f.word = t.next)
+        SELECT word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, root FROM t WHERE next IS NULL) USING (word)""",
 }
