@@ -5,7 +5,7 @@ import os
 import pytest
 
 DATA = os.environ.get("TIDEMILL_TESTDATA", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="the test tables are not here")
 
 

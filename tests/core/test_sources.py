@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.sources import config, datasource, index, lists, pages, sinks
+from tidemill.sources import config, datasource, index, ledger, lists, pages, sinks
 from tidemill.schemas import COLUMNS
 
 
@@ -107,15 +107,15 @@ def test_sinks(spark, tmp_path):
     batch = rows_of(spark, [("Acme", "a", "1", "ID1", 0), ("acme", "a2", "1", "ID1", 1), ("acme", "b", "2", "", 2), ("other", "a", "1", "ID1", 0)])
     sinks.append_rows(batch, out, ["number"])
     sinks.append_rows(batch, out, ["number"])
-    assert sorted((r.query_key, r.brand) for r in spark.read.parquet(out).collect()) == [("acme", "a"), ("acme", "b"), ("other", "a")]
+    assert sorted((r.query_key, r.brand) for r in sinks.written(spark, out).collect()) == [("acme", "a"), ("acme", "b"), ("other", "a")]
     with pytest.raises(Exception, match="boom"):
         sinks.append_rows(rows_of(spark, [("new", "n", "9", "ID9", 0)]).withColumn("holder", F.raise_error(F.lit("boom")).cast("string")), out, ["number"])
     sinks.append_rows(rows_of(spark, [("new", "n", "9", "ID9", 0)]), out, ["number"])
-    assert spark.read.parquet(out).count() == 4
+    assert sinks.written(spark, out).count() == 4
     c = str(tmp_path / "counts")
     for n, q in ((955, "Acme"), (12, " acme "), (3, "b")):
         sinks.append_first(spark.createDataFrame([(q, n)], "query string, n_results long"), c, "query", ["n_results"])
-    assert sorted(tuple(r) for r in spark.read.parquet(c).select("query", "n_results").collect()) == [("Acme", 955), ("b", 3)]
+    assert sorted(tuple(r) for r in sinks.written(spark, c, "records").select("query", "n_results").collect()) == [("Acme", 955), ("b", 3)]
     names = spark.createDataFrame([("ACME",), (" acme",), ("zz",)], "name string")
     assert [r.name for r in sinks.counted(spark, c, names).collect()] == ["ACME"]
     text = sinks.row_lines(rows_of(spark, [("Q", 'b"\'', "1", "I", None)]), F.lit("2024-05-06 07:08:09").cast("timestamp")).first().value
@@ -126,12 +126,16 @@ def test_sinks(spark, tmp_path):
     page = lambda *r: spark.createDataFrame(r, "query string, page int, body string")
     sinks.archive(page(("acme corp", 1, "x"), ("acme corp", 2, "y")), a)
     sinks.archive(page(("Acme Corp", 2, "z")), a)
-    assert sorted((r.page, r.body, r.file) for r in spark.read.parquet(a).collect()) == [(1, "x", "acme corp_p1.raw"), (2, "z", "acme corp_p2.raw")]
+    assert sorted((r.page, r.body, r.file) for r in sinks.written(spark, a, "pages").collect()) == [(1, "x", "acme corp_p1.raw"), (2, "z", "acme corp_p2.raw")]
     state = str(tmp_path / "state")
     ckpt = spark.createDataFrame([("a", 0, 4, 400), ("a", 1, 5, None), ("b", 0, 1, 1)], "query string, shard int, page int, rows long")
-    sinks.replace(ckpt, state)
-    sinks.replace(sinks.without_checkpoints(spark.read.parquet(state), spark.createDataFrame([("a",)], "query string")), state)
-    assert [r["query"] for r in spark.read.parquet(state).collect()] == ["b"] and not os.path.exists(state + ".old")
+    keys = ["query", "shard"]
+    sinks.replace(ckpt, state, keys)
+    first = sinks.written(spark, state, "state")
+    sinks.replace(sinks.without_checkpoints(first, spark.createDataFrame([("a",)], "query string")), state, keys, seen=1)
+    assert [r["query"] for r in sinks.written(spark, state, "state").collect()] == ["b"] and first.count() == 3
+    with pytest.raises(ledger.Conflict):
+        sinks.replace(first, state, keys, seen=1)
 
 
 def test_config(tmp_path):

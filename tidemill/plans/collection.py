@@ -90,7 +90,7 @@ def q52_append_rows(spark, d):
     sinks.append_rows(rows.filter("c_custkey % 2 = 0"), path, ["c_custkey"])
     sinks.append_rows(rows.union(rows), path, ["c_custkey"])
     sinks.append_rows(rows, path, ["c_custkey"])
-    return spark.read.parquet(path).groupBy("query_key").agg(F.count("*").alias("n"), F.count_distinct("c_custkey").alias("firsts"))
+    return sinks.written(spark, path).groupBy("query_key").agg(F.count("*").alias("n"), F.count_distinct("c_custkey").alias("firsts"))
 
 
 @query("""
@@ -100,7 +100,7 @@ def q53_append_first(spark, d):
     records, path = table(spark, d, "orders").select(F.concat(F.lit("Customer "), "o_custkey").alias("name"), "o_orderkey"), _path(spark, "firsts")
     sinks.append_first(records.filter("o_orderkey % 2 = 0"), path, "name", ["o_orderkey"])
     sinks.append_first(records, path, "name", ["o_orderkey"])
-    return spark.read.parquet(path).select("key", "o_orderkey")
+    return sinks.written(spark, path, "records").select("key", "o_orderkey")
 
 
 @query("SELECT c_name AS name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
@@ -143,12 +143,12 @@ def q57_checkpoint_text(spark, d):
 
 @query("SELECT c_name AS query, CAST(c_custkey % 4 AS INTEGER) AS shard, CAST(2 AS INTEGER) AS page FROM customer WHERE c_nationkey % 5 <> 0")
 def q58_checkpoint_state(spark, d):
-    """State is replaced as a whole, by renaming; what is finished loses its checkpoints, all shards'."""
+    """State is replaced as a whole, a generation by the next; what is finished loses its checkpoints, all shards'."""
     c, path = table(spark, d, "customer"), _path(spark, "checkpoints")
     state = lambda page: c.select(F.col("c_name").alias("query"), (F.col("c_custkey") % 4).cast("int").alias("shard"), F.lit(page).alias("page"))
-    sinks.replace(state(1), path)
-    sinks.replace(state(2), path)
-    return sinks.without_checkpoints(spark.read.parquet(path), c.filter("c_nationkey % 5 = 0").select(F.col("c_name").alias("query")))
+    sinks.replace(state(1), path, ["query", "shard"])
+    sinks.replace(state(2), path, ["query", "shard"])
+    return sinks.without_checkpoints(sinks.written(spark, path, "state"), c.filter("c_nationkey % 5 = 0").select(F.col("c_name").alias("query")))
 
 
 @query("SELECT lower(n_name) AS query, CAST(count(*) AS BIGINT) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 5 <> 0 GROUP BY 1")
@@ -187,7 +187,7 @@ def q62_archive(spark, d):
     pages, path = table(spark, d, "nation").select(F.col("n_name").alias("query"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("page"), F.concat(F.lit("old "), "n_name").alias("body")), _path(spark, "archive")
     sinks.archive(pages, path)
     sinks.archive(pages.filter("page = 2").withColumn("body", F.concat(F.lit("new "), "query")), path)
-    return spark.read.parquet(path).select("query_name", F.col("page").cast("int").alias("page"), "body")
+    return sinks.written(spark, path, "pages").select("query_name", F.col("page").cast("int").alias("page"), "body")
 
 
 @query("""
@@ -390,7 +390,7 @@ def q79_stream_append(spark, d):
     for again in range(2):
         rows = walks.from_table(spark, f"{d}/events.parquet").select("event_id", F.concat(F.lit("User "), "user_id").alias("query"), *[F.col("event_type").alias(c) if c == "record_id" else F.lit(0 if c == "number" else "").alias(c) for c in COLUMNS])
         walks.stored(rows, f"{at}/rows", f"{at}/state{again}", ["event_id"]).awaitTermination()
-    return spark.read.parquet(f"{at}/rows").select("query_key", "row_key")
+    return sinks.written(spark, f"{at}/rows").select("query_key", "row_key")
 
 
 @query("""

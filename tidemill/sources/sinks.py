@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import archive_name, day, query_key, row_key, stamped
-from ..operators.dedupe import first_of, new_rows
-from .lists import exists, values_from_row
+from .index import hashed
+from .ledger import Append, Done, Drop, Ledger, Put, Replace
+from .lists import values_from_row
 
 
 def with_key(rows: DataFrame) -> DataFrame:
@@ -17,26 +16,49 @@ def with_key(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"query_key": query_key(F.col("query")), "row_key": row_key(*[F.col(c) for c in ("brand", "holder", "reg_number", "reg_date", "number", "record_id")])})
 
 
-def append_rows(rows: DataFrame, path: str, order: list[str]) -> None:
-    """Appends the rows whose identity is neither written nor earlier in the batch. A write that fails commits nothing, so its keys stay free."""
-    spark, keyed = rows.sparkSession, with_key(rows)
-    keys = ["query_key", "row_key"]
-    fresh = new_rows(keyed, spark.read.parquet(path), keys, order) if exists(spark, path) else first_of(keyed, keys, order)
-    fresh.write.mode("append").parquet(path)
+def append_rows(rows: DataFrame, path: str, order: list[str], batch: tuple[str, int] | None = None) -> Done:
+    """Appends the rows whose identity is neither written nor earlier in the batch. A write that fails commits nothing, so its keys stay free.
+    Other writers may append at the same time: each key is written once. A numbered batch that was committed before is not written again."""
+    return Ledger(rows.sparkSession, path).commit([Append("rows", with_key(rows), ["query_key", "row_key"], order)], batch)
+
+
+def append_indexed(rows: DataFrame, path: str, order: list[str], checkpoints: DataFrame | None = None, batch: tuple[str, int] | None = None) -> Done:
+    """In one commit: new rows, their entries in the index (query, row_hash), and the checkpoints (query, shard, page, rows) that they reach, of
+    several of one walk the furthest. A crash leaves all of it or none, so a checkpoint never runs ahead of its rows, nor rows of their index."""
+    keyed = with_key(rows)
+    entries = keyed.select(F.col("query_key").alias("query"), hashed(F.col("query_key"), F.col("row_key")).alias("row_hash"))
+    changes = [Append("rows", keyed, ["query_key", "row_key"], order), Append("index", entries, ["query", "row_hash"], ["query"])]
+    if checkpoints is not None:
+        changes.append(Put("checkpoints", checkpoints.select("query", "shard", "page", "rows"), ["query", "shard"], ["page", "rows"]))
+    return Ledger(rows.sparkSession, path).commit(changes, batch)
+
+
+def finish(spark: SparkSession, path: str, finished: DataFrame) -> Done:
+    """In one commit: the checkpoints, all shards', and the index entries of finished queries (query) go; their rows stay."""
+    ledger, gone = Ledger(spark, path), finished.select("query").distinct()
+    now = ledger.snapshot()
+    own = {t: ledger.read(t, now.version) for t in ("checkpoints", "index") if t in now.tables}
+    keyed = {"checkpoints": gone, "index": gone.select(query_key(F.col("query")).alias("query")).distinct()}
+    return ledger.commit([Drop(t, frame.join(keyed[t], "query", "left_semi"), now.tables[t].keys) for t, frame in own.items()])
 
 
-def append_first(records: DataFrame, path: str, key: str, order: list[str]) -> None:
+def written(spark: SparkSession, path: str, table: str = "rows") -> DataFrame | None:
+    """What has been committed to a table of a folder; None before the first commit."""
+    return Ledger(spark, path).read(table)
+
+
+def append_first(records: DataFrame, path: str, key: str, order: list[str], batch: tuple[str, int] | None = None) -> Done:
     """Appends records whose key is new; of several the first. For counts and stores, where a later value never replaces one."""
-    spark, keyed = records.sparkSession, records.withColumn("key", query_key(F.col(key)))
-    fresh = new_rows(keyed, spark.read.parquet(path), ["key"], order) if exists(spark, path) else first_of(keyed, ["key"], order)
-    fresh.write.mode("append").parquet(path)
+    keyed = records.withColumn("key", query_key(F.col(key)))
+    return Ledger(records.sparkSession, path).commit([Append("records", keyed, ["key"], order)], batch)
 
 
 def counted(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
     """names that have a count."""
-    if not exists(spark, path):
+    known = written(spark, path, "records")
+    if known is None:
         return names.limit(0)
-    return names.join(spark.read.parquet(path).select(F.col("key").alias("_k")), F.lower("name") == F.col("_k"), "left_semi")
+    return names.join(known.select(F.col("key").alias("_k")), F.lower("name") == F.col("_k"), "left_semi")
 
 
 def row_lines(rows: DataFrame, at: Column) -> DataFrame:
@@ -53,27 +75,17 @@ def export_rows(rows: DataFrame, at: Column, path: str, per_file: int = 1_000_00
     row_lines(rows, at).write.mode("append").option("maxRecordsPerFile", per_file).text(path)
 
 
-def archive(pages: DataFrame, path: str) -> None:
-    """Pages (query, page, body) by query and page; those written before are replaced, others stay."""
+def archive(pages: DataFrame, path: str, bucket_pages: int = 10_000) -> Done:
+    """Pages (query, page, body) by query and page; those written before are replaced, others stay. Files hold up to about bucket_pages pages
+    each, and only those that hold a page of the batch are written anew."""
     named = pages.withColumns({"query_name": query_key(F.col("query")), "file": archive_name(F.col("query"), F.col("page"))})
-    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_name", "page").parquet(path)
-
-
-def replace(state: DataFrame, path: str) -> None:
-    """Writes a state table (checkpoints, a compacted index) beside the old one, then swaps them by renaming."""
-    spark = state.sparkSession
-    fresh, old = f"{path}.{uuid.uuid4().hex[:8]}", f"{path}.old"
-    state.write.parquet(fresh)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target = hadoop(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.delete(hadoop(old), True)
-        if not files.rename(target, hadoop(old)):
-            raise OSError(f"{path} could not be moved away")
-    if not files.rename(hadoop(fresh), target):
-        raise OSError(f"{fresh} could not be moved to {path}")
-    files.delete(hadoop(old), True)
+    return Ledger(pages.sparkSession, path, bucket_rows=bucket_pages).commit([Put("pages", named, ["query_name", "page"], ["body"])])
+
+
+def replace(state: DataFrame, path: str, keys: list[str], seen: int | None = None) -> Done:
+    """A state table (checkpoints, a compacted index) as a new generation. Readers see the old one or the new one, whole, at every moment; what a
+    crash leaves half written is never seen. With seen (a version), it fails if the state has changed since, so that no change is lost."""
+    return Ledger(state.sparkSession, path).commit([Replace("state", state, keys, seen)])
 
 
 def without_checkpoints(checkpoints: DataFrame, finished: DataFrame) -> DataFrame:

@@ -22,8 +22,9 @@ def unique(stream: DataFrame, keys: list[str], ts: str | None = None, late: str
 
 
 def stored(stream: DataFrame, path: str, checkpoint: str, order: list[str], **trigger):
-    """Appends rows that are new. A batch that is run again after a crash finds its rows written and appends none of them twice."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).foreachBatch(lambda batch, _: append_rows(batch, path, order)).start()
+    """Appends rows that are new, each micro-batch in one commit that bears its number: one that is run again after a crash is not written twice,
+    and it reads only the files under which its own keys fall."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).foreachBatch(lambda batch, n: append_rows(batch, path, order, (checkpoint, n))).start()
 
 
 _NEXT = {name: state for name, _, _, _, state in TRANSITIONS}
