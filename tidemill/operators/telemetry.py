@@ -1,7 +1,7 @@
 """Order-sensitive measures over an event log: moving averages, failures, streaks, cooldowns, rate gates, gaps.
 
-Folds of one key's events in order (moving average, rate gate, rotation) collect a key's numbers and aggregate them natively; a key's
-events must fit in memory there (16 to 24 bytes each), as in any sequential fold. The others are windows.
+Folds of a key's events in order (moving average, rate gate, rotation) are in `ordered`, which splits a hot key over ranges; the functions on
+arrays here are for values that are at hand in one row. The others are windows.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import moving_average
+
 ALPHA = 0.3
 
 
@@ -35,12 +37,6 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def ordered_values(events: DataFrame, by: list[str], order: list[str], value: Column) -> DataFrame:
-    """by and `vals`: the values of each key in order."""
-    rows = events.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, value.alias("_v")))).alias("_s"))
-    return rows.select(*by, F.transform("_s", lambda s: s["_v"]).alias("vals"))
-
-
 def ewma(values: Column, alpha: float = ALPHA) -> Column:
     """Moving average of an array of doubles: the first value starts it."""
     return F.aggregate(values, F.lit(None).cast("double"), lambda a, v: F.coalesce(F.lit(alpha) * v + F.lit(1 - alpha) * a, v))
@@ -97,7 +93,7 @@ def admitted(times: Column, gap: int | Column) -> Column:
 
 
 def rotated(sizes: Column, cap: int) -> Column:
-    """The part, from 1, that each of an array of sizes (long, in order) is written to: a part that has reached the cap is closed after the write. No cap: one part."""
+    """For short arrays (`ordered.rotated` is for tables): the part, from 1, that each of an array of sizes (long, in order) is written to: a part that has reached the cap is closed after the write. No cap: one part."""
     if cap <= 0:
         return F.transform(sizes, lambda _: F.lit(1))
     start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(1).alias("part"), F.array().cast("array<int>").alias("out"))
@@ -157,8 +153,8 @@ def summary(events: DataFrame, o: Options) -> DataFrame:
     run = fails_since_success(events, ["endpoint"], ["ts", "id"], ok, weight)
     of = lambda k: F.count_if(F.col("kind") == k).alias
     found = run.groupBy("endpoint").agg(of("ok")("oks"), F.count_if(fail).alias("failures"), of("cooldown")("cooldowns"), of("attempt")("attempts"), F.avg(F.when(F.col("kind") == "attempt", F.col("ms"))).alias("mean_attempt_ms"), F.max_by("fails", F.struct("ts", "id")).alias("fails"))
-    samples = ordered_values(events.filter((F.col("kind") == "latency") & (F.col("ms") > 0)), ["endpoint"], ["ts", "id"], F.col("ms").cast("double"))
-    out = found.join(samples.select("endpoint", ewma(F.col("vals")).alias("latency_ms")), "endpoint", "left")
+    latency = moving_average(events.filter((F.col("kind") == "latency") & (F.col("ms") > 0)), ["endpoint"], ["ts", "id"], F.col("ms"), ALPHA)
+    out = found.join(latency.select("endpoint", F.col("ewma").alias("latency_ms")), "endpoint", "left")
     return out.withColumn("speed", speed(F.col("latency_ms"), o.latency_ref_ms))
 
 

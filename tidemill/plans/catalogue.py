@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import codec, markers, status
 from ..functions import text as X
 from ..functions.messages import MESSAGES
-from ..operators import dedupe, rules, tasks, telemetry, verdict
+from ..operators import dedupe, ordered, rules, tasks, telemetry, verdict
 from ..sources import pages as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -298,17 +298,15 @@ def q24_classify(spark, d):
     SELECT doc_id, part FROM f""")
 def q25_rotation(spark, d):
     sizes = table(spark, d, "documents").select("source", "doc_id", F.octet_length("text").cast("long").alias("size"))
-    lists = sizes.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "size"))).alias("s"))
-    placed = lists.select(F.explode(F.arrays_zip(F.col("s.doc_id").alias("doc_id"), telemetry.rotated(F.col("s.size"), 20_000).alias("part"))).alias("p"))
-    return placed.select("p.doc_id", "p.part")
+    return ordered.rotated(sizes, ["source"], ["doc_id"], F.col("size"), 20_000).select("doc_id", "part")
 
 
 @query("""
     WITH v AS (SELECT user_id, list(CAST(value AS DOUBLE) ORDER BY ts, event_id) AS vals FROM events GROUP BY 1)
     SELECT user_id, round(list_reduce(vals, lambda a, v: CAST(0.3 AS DOUBLE) * v + (CAST(1.0 AS DOUBLE) - CAST(0.3 AS DOUBLE)) * a), 6) AS ewma FROM v""")
 def q26_ewma(spark, d):
-    vals = telemetry.ordered_values(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value"))
-    return vals.select("user_id", F.round(telemetry.ewma(F.col("vals")), 6).alias("ewma"))
+    found = ordered.moving_average(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value"), telemetry.ALPHA)
+    return found.select("user_id", F.round("ewma", 6).alias("ewma"))
 
 
 @query("""
@@ -341,8 +339,8 @@ def q29_stall_gap(spark, d):
                SELECT n.user_id, n.i, CASE WHEN n.t - last >= 21600000000 THEN n.t ELSE last END, CASE WHEN n.t - last >= 21600000000 THEN admitted + 1 ELSE admitted END FROM f JOIN n ON n.user_id = f.user_id AND n.i = f.i + 1)
     SELECT user_id, max(admitted) AS admitted FROM f GROUP BY user_id""")
 def q30_rate_gate(spark, d):
-    times = telemetry.ordered_values(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], telemetry.micros("ts"))
-    return times.select("user_id", telemetry.admitted(F.col("vals"), 21_600_000_000).alias("admitted"))
+    let = ordered.admitted(table(spark, d, "events"), ["user_id"], ["event_id"], telemetry.micros("ts"), 21_600_000_000)
+    return let.groupBy("user_id").agg(F.count("*").alias("admitted"))
 
 
 @query("""
@@ -421,7 +419,8 @@ def q38_stream_dedupe(spark, d):
     from ..streaming import walks
 
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:8]}"
-    stream = walks.unique(walks.from_table(spark, f"{d}/events.parquet").select("user_id", "event_type"), ["user_id", "event_type"])
+    files = walks.in_files(table(spark, d, "events"), F.col("event_id"), f"{at}/events", 3)
+    stream = walks.unique(walks.from_table(spark, files).select("user_id", "event_type"), ["user_id", "event_type"])
     stream.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
     return spark.read.parquet(f"{at}/rows")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from ..functions import codec
 from ..functions import text as X
 from ..operators import dedupe, tasks, telemetry, verdict
 from ..schemas import COLUMNS
-from ..sources import index, lists, sinks
+from ..sources import index, ledger, lists, sinks
 from ..sources import pages as P
-from ..sources.shared import shared_dir
+from ..sources.shared import shared_dir, staged
 from .catalogue import query, table
 
 
@@ -45,10 +46,32 @@ def _rows(spark, d):
 # Lists, stores, rules, counts
 
 
-@query("SELECT CAST(3 * n_nationkey + 1 AS INTEGER) AS pos, n_name AS line FROM nation")
+@contextmanager
+def _splits(spark: SparkSession, size: str):
+    """Files are read in splits of this size, so that small ones have several too."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _written(lines, order: list[str], path: str) -> str:
+    """Texts (column lines, an array a row) as files that Spark writes, in order over all of them."""
+    lines.repartitionByRange(4, *order).sortWithinPartitions(*order).select(F.explode("lines").alias("value")).write.text(path)
+    return path
+
+
+@query("SELECT 3 * row_number() OVER (ORDER BY c_custkey) - 2 AS pos, c_name AS line FROM customer")
 def q47_line_list(spark, d):
-    text = "".join(f"# {r.n_name}\n\t {r.n_name} \r\n   \n" for r in _nations(spark, d))
-    return lists.lines(spark, _put(spark, _path(spark, "list"), b"\xef\xbb\xbf" + text.encode()))
+    """A list of several files, each of several splits: positions are those in the whole list."""
+    c = table(spark, d, "customer")
+    text = c.select("c_custkey", F.array(F.concat(F.lit("# "), "c_name"), F.concat(F.lit("\t "), "c_name", F.lit(" \r")), F.lit("   ")).alias("lines"))
+    path = _written(text, ["c_custkey"], _path(spark, "list"))
+    with _splits(spark, "16k"):
+        return staged(lists.lines(spark, path), "lines")
 
 
 @query("SELECT c_mktsegment AS value, min(c_custkey) AS pos FROM customer GROUP BY 1")
@@ -57,19 +80,27 @@ def q48_ordered_distinct(spark, d):
     return dedupe.distinct_first(own, F.col("shown"), "c_custkey")
 
 
-@query("SELECT lower(n_name) AS name, n_name || chr(9) || 'first ' || n_nationkey AS stored FROM nation")
+@query("SELECT lower(c_name) AS name, c_name || chr(9) || 'first ' || c_custkey AS stored FROM customer")
 def q49_line_store(spark, d):
-    own = _nations(spark, d)
-    text = "".join(f"{r.n_name}\tfirst {r.n_nationkey}\n" for r in own) + "\n" + "".join(f"  {r.n_name.lower()} \tlater\n" for r in own)
-    return lists.store(spark, _put(spark, _path(spark, "store"), text.encode()))
+    """Of a key's lines the first counts, whichever file and split it is in."""
+    c = table(spark, d, "customer")
+    first = c.select(F.lit(0).alias("half"), "c_custkey", F.array(F.concat("c_name", F.lit("\tfirst "), "c_custkey"), F.lit("")).alias("lines"))
+    later = c.select(F.lit(1).alias("half"), "c_custkey", F.array(F.concat(F.lit("  "), F.lower("c_name"), F.lit(" \tlater"))).alias("lines"))
+    path = _written(first.union(later), ["half", "c_custkey"], _path(spark, "store"))
+    with _splits(spark, "16k"):
+        return staged(lists.store(spark, path), "store")
 
 
-@query("SELECT CAST(2 * n_nationkey AS INTEGER) AS ord, CASE n_nationkey % 3 WHEN 0 THEN 'skip' WHEN 1 THEN 'pauseAll' ELSE 'sleep30' END AS action, 'marker ' || n_name AS marker FROM nation")
+@query("""
+    SELECT CAST(2 * row_number() OVER (ORDER BY c_custkey) - 2 AS INTEGER) AS ord, CASE c_custkey % 3 WHEN 0 THEN 'skip' WHEN 1 THEN 'pauseAll' ELSE 'sleep30' END AS action, 'marker ' || c_name AS marker FROM customer""")
 def q50_rules_file(spark, d):
-    actions = ("skip", "pauseAll", "sleep30")
-    own = _nations(spark, d)
-    text = "".join(f" {actions[r.n_nationkey % 3]} @::@ marker {r.n_name}\nunknown@::@x{r.n_name}\n" for r in own) + "".join(f"skip@::@marker {r.n_name}\nsleep0@::@y\nskip@::@\n" for r in own)
-    return lists.rules(spark, _put(spark, _path(spark, "rules"), text.encode()))
+    c, i = table(spark, d, "customer"), F.col("c_custkey")
+    action = F.when(i % 3 == 0, "skip").when(i % 3 == 1, "pauseAll").otherwise("sleep30")
+    first = c.select(F.lit(0).alias("half"), i, F.array(F.concat(F.lit(" "), action, F.lit(" @::@ marker "), "c_name"), F.concat(F.lit("unknown@::@x"), "c_name")).alias("lines"))
+    later = c.select(F.lit(1).alias("half"), i, F.array(F.concat(F.lit("skip@::@marker "), "c_name"), F.lit("sleep0@::@y"), F.lit("skip@::@")).alias("lines"))
+    path = _written(first.union(later), ["half", "c_custkey"], _path(spark, "rules"))
+    with _splits(spark, "16k"):
+        return staged(lists.rules(spark, path), "rules")
 
 
 @query("SELECT DATE '2024-01-02' AS day, lower(c_name) AS query, c_custkey AS n_results FROM customer")
@@ -112,15 +143,17 @@ def q54_counted(spark, d):
 
 
 @query("""
-    SELECT CASE WHEN n_nationkey % 3 = 0 THEN 4611686018427387904 ELSE CAST(n_nationkey % 3 AS BIGINT) END AS part, n_name AS query, 'ROM.' || n_nationkey AS record_id, CAST(CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE -1 END AS INTEGER) AS number
-    FROM nation WHERE n_nationkey % 5 <> 1""")
+    SELECT CASE WHEN c_custkey % 3 = 0 THEN 4611686018427387904 ELSE CAST(c_custkey % 3 AS BIGINT) END AS part, c_name AS query, 'ROM.' || c_custkey AS record_id, CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -1 END AS INTEGER) AS number
+    FROM customer WHERE c_custkey % 5 <> 1""")
 def q55_output_parts(spark, d):
-    """Rotated parts and the active file are one output; torn lines and finished queries are left out."""
-    path, own = f"{_path(spark, 'parts')}.tsv", _nations(spark, d)
+    """Rotated parts and the active one are one output; torn lines and finished queries are left out."""
+    path, c, i = f"{_path(spark, 'parts')}.tsv", table(spark, d, "customer"), F.col("c_custkey")
+    shown = F.when(i % 2 == 0, i.cast("string")).otherwise("none")
+    line = F.concat_ws("\t", F.lit("2024-01-02 03:04:05"), "c_name", *[F.lit("")] * 8, F.concat(F.lit("ROM."), i), F.lit("ACT"), shown, F.lit("more"))
     for part in range(3):
-        lines = ["\t".join(["2024-01-02 03:04:05", r.n_name, *[""] * 8, f"ROM.{r.n_nationkey}", "ACT", str(r.n_nationkey) if r.n_nationkey % 2 == 0 else "none", "more"]) for r in own if r.n_nationkey % 3 == part]
-        _put(spark, f"{path}.{part}" if part else path, ("\n".join([*lines, "torn\tline"]) + "\n").encode())
-    finished = table(spark, d, "nation").filter("n_nationkey % 5 = 1").select(F.lower("n_name").alias("name"))
+        own = c.filter(i % 3 == part).select(i, F.array(line, F.lit("torn\tline")).alias("lines"))
+        _written(own, ["c_custkey"], f"{path}.{part}" if part else path)
+    finished = c.filter(i % 5 == 1).select(F.lower("c_name").alias("name"))
     return lists.output_rows(spark, path, finished).select("part", "query", "record_id", "number")
 
 
@@ -130,6 +163,67 @@ def q56_totals(spark, d):
     return dedupe.totals(rows.union(rows), "query_key", "row_key")
 
 
+@query("SELECT click_id, CAST(1 AS BIGINT) AS n, epoch_us(min(arrived_at)) AS arrived_us FROM clicks WHERE click_id IS NOT NULL AND arrived_at IS NOT NULL GROUP BY click_id")
+def q81_writers_at_once(spark, d):
+    """Two writers append at the same time; two thirds of the clicks come to each, and each is written once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = _path(spark, "shared")
+    clicks = table(spark, d, "clicks").filter("click_id IS NOT NULL AND arrived_at IS NOT NULL").select("click_id", "arrived_at")
+
+    def write(left_out: int):
+        ledger.Ledger(spark, path, bucket_rows=100_000).commit([ledger.Append("clicks", clicks.filter(F.pmod("click_id", F.lit(3)) != left_out), ["click_id"], ["arrived_at"])])
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, (0, 1)))
+    return sinks.written(spark, path, "clicks").groupBy("click_id").agg(F.count("*").alias("n"), telemetry.micros(F.min("arrived_at")).alias("arrived_us"))
+
+
+@query("""
+    SELECT lower(n_name) AS query, count(*) AS n_rows, count(*) AS n_index, CAST(max(c_custkey) FILTER (c_custkey % 3 <> 0) AS INTEGER) AS page
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 <> 1 GROUP BY 1
+    UNION ALL SELECT lower(n_name), count(*), 0, NULL FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 = 1 GROUP BY 1""")
+def q82_killed_writers(spark, d):
+    """Rows, their index and the checkpoint they reach are one commit. Writers die before it and after it, and each batch is tried again."""
+    path, rows = _path(spark, "killed"), _rows(spark, d)
+
+    def batch(n: int, dies: str | None):
+        def on_step(step):
+            if step == dies:
+                raise KeyboardInterrupt(step)
+
+        own = rows.filter(F.col("c_custkey") % 3 == n)
+        reached = own.groupBy(F.lower("query").alias("query")).agg(F.max("c_custkey").cast("int").alias("page")).select("query", F.lit(0).alias("shard"), "page", F.lit(None).cast("long").alias("rows"))
+        sinks.append_indexed(own, path, ["c_custkey"], reached if n else None, ("walk", n), on_step)
+
+    for n, dies in ((0, "commit"), (1, "write"), (2, "after")):
+        try:
+            batch(n, dies)
+        except KeyboardInterrupt:
+            batch(n, None)
+    sinks.finish(spark, path, table(spark, d, "nation").filter("n_nationkey % 4 = 1").select(F.lower("n_name").alias("query")))
+    index_, at = (sinks.written(spark, path, t) for t in ("index", "checkpoints"))
+    found = sinks.written(spark, path).groupBy(F.col("query_key").alias("query")).agg(F.count("*").alias("n_rows"))
+    found = found.join(index_.groupBy("query").agg(F.count("*").alias("n_index")), "query", "left").join(at.select("query", "page"), "query", "left")
+    return found.select("query", "n_rows", F.coalesce("n_index", F.lit(0)).alias("n_index"), "page")
+
+
+@query("SELECT count(DISTINCT click_id) + 1 AS n_rows, CAST(1 AS BIGINT) AS added, true AS opened_few, CAST(count(DISTINCT click_id) FILTER (click_id % 5 = 0) + 1 AS BIGINT) AS first_batch FROM clicks")
+def q83_history_by_key(spark, d):
+    """A batch of a few keys opens the few files of its own keys' prefixes, however many the history has. Each batch holds a part of the one before again."""
+    clicks, path = table(spark, d, "clicks").filter("click_id IS NOT NULL"), _path(spark, "history")
+    n = clicks.select("click_id").distinct().count()
+    own = ledger.Ledger(spark, path, bucket_rows=max(1, n // 64), most_files=4)
+    key = F.pmod("click_id", F.lit(5))
+    for k in range(5):
+        own.commit([ledger.Append("clicks", clicks.filter(key.isin(k, k - 1)).select("click_id", F.lit(k).alias("batch")), ["click_id"], ["batch"])])
+    few = clicks.select("click_id").orderBy("click_id").limit(3).union(spark.range(1).select(F.lit(-1).cast("long"))).select("click_id", F.lit(0).alias("batch"))
+    done = own.commit([ledger.Append("clicks", few, ["click_id"], ["batch"])])
+    files = len(own.snapshot().tables["clicks"].files)
+    found = own.read("clicks").agg(F.count("*").alias("n_rows"), F.count_if(F.col("batch") == 0).alias("first_batch"))
+    return found.select("n_rows", F.lit(done.rows["clicks"]).cast("long").alias("added"), F.lit(done.opened["clicks"] <= 4 * (4 + 1) * 2 and done.opened["clicks"] < files / 2).alias("opened_few"), "first_batch")
+
+
 # State
 
 
@@ -170,10 +264,10 @@ def q60_index_imported(spark, d):
     return index.loaded(spark, _put(spark, _path(spark, "index"), data), "none", b"TMIX", finished)
 
 
-@query("SELECT DISTINCT lower(n_name) AS name FROM nation WHERE n_nationkey % 2 = 0 OR n_nationkey % 3 = 0")
+@query("SELECT DISTINCT lower(c_name) AS name FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
 def q61_older_state(spark, d):
-    own = _nations(spark, d)
-    two, three = (_put(spark, _path(spark, "older"), "".join(f"{r.n_name}\t{n}\n" for r in own if r.n_nationkey % n == 0).encode()) for n in (2, 3))
+    c, i = table(spark, d, "customer"), F.col("c_custkey")
+    two, three = (_written(c.filter(i % n == 0).select(i, F.array(F.concat("c_name", F.lit(f"\t{n}"))).alias("lines")), ["c_custkey"], _path(spark, "older")) for n in (2, 3))
     return lists.legacy_done(spark, two, three, _path(spark, "missing"))
 
 
@@ -192,13 +286,13 @@ def q62_archive(spark, d):
 
 @query("""
     SELECT r.kind, lower(replace(n_name, ' ', '-')) AS query, CAST(p AS INTEGER) AS page, 'page ' || p || ' of ' || n_name AS body
-    FROM nation, (SELECT unnest(range(1, 5)) AS p), (VALUES ('pushed'), ('read')) AS r(kind) WHERE n_nationkey < 6 AND (p BETWEEN 2 AND 3 OR r.kind = 'read')""")
+    FROM nation, (SELECT unnest(range(1, 5)) AS p), (VALUES ('pushed'), ('read')) AS r(kind) WHERE (p BETWEEN 2 AND 3 OR r.kind = 'read')""")
 def q63_captured_pages(spark, d):
     """Page ranges are pushed to the source, which opens no other file; the reader that goes by Spark sees all."""
     from ..sources import datasource
 
     path = _path(spark, "captured")
-    for r in _nations(spark, d)[:6]:
+    for r in _nations(spark, d):
         for p in range(1, 5):
             _put(spark, f"{path}/{r.n_name.lower().replace(' ', '-')}_p{p}.raw", f"page {p} of {r.n_name}".encode())
     datasource.register(spark)
@@ -240,7 +334,8 @@ def q65_json_else_html(spark, d):
 
 
 @query("""
-    SELECT CAST(c_custkey // 50 AS BIGINT) AS page, CASE WHEN (c_custkey // 50) % 3 = 0 THEN '' ELSE 'Results ' || (c_custkey // 50) END AS title, CAST(count(*) AS INTEGER) AS grid_rows, CASE WHEN (c_custkey // 50) % 3 = 0 THEN 'unknown' ELSE 'results' END AS kind FROM customer GROUP BY 1, 2, 4""")
+    SELECT CAST(c_custkey // 50 AS BIGINT) AS page, CASE WHEN (c_custkey // 50) % 3 = 0 THEN '' ELSE 'Results ' || (c_custkey // 50) END AS title, CAST(count(*) AS INTEGER) AS grid_rows,
+           CASE WHEN (c_custkey // 50) % 3 = 0 THEN '' ELSE '1 - ' || count(*) || ' / ' || count(*) END AS pager, CASE WHEN (c_custkey // 50) % 3 = 0 THEN 'unknown' ELSE 'results' END AS kind FROM customer GROUP BY 1, 2, 4""")
 def q66_snapshots(spark, d):
     """Captured HTML becomes what the classifier looks at; a grid with a position line is a page of results."""
     from ..functions import markers
@@ -249,16 +344,28 @@ def q66_snapshots(spark, d):
     page = (F.col("c_custkey") / 50).cast("long")
     tr = F.format_string(f'<tr id="%d"><td aria-describedby="{P.ARIA}BRAND">%s</td></tr>', "c_custkey", "c_name")
     made = table(spark, d, "customer").groupBy(page.alias("page")).agg(F.array_join(F.collect_list(tr), "").alias("rows"), F.count("*").alias("n"))
+    # Every page has position lines that are not its own: in a script, and in the pane of another way to search, which is not shown.
     lost = F.col("page") % 3 == 0
-    body = F.concat(F.when(lost, "").otherwise(F.concat(F.lit("<title>Results "), "page", F.lit("</title>"))), F.lit("<script>1 - 2 / 3</script><p>"), F.when(lost, "").otherwise(F.concat(F.lit("1 - "), "n", F.lit(" / "), "n")), F.lit("</p><tbody>"), "rows", F.lit("</tbody>"))
+    line = F.concat(F.lit('<div class="top pagerPos"> 1 - '), "n", F.lit("&nbsp;/ <b>"), "n", F.lit("</b></div>"))
+    other = F.lit('<script>1 - 2 / 3</script><div style="display: none"><div class="pagerPos">1 - 2 / 3</div><table><tbody><tr id="0"><td aria-describedby="' + P.ARIA + 'BRAND">x</td></tr></tbody></table></div>')
+    body = F.concat(F.when(lost, "").otherwise(F.concat(F.lit("<title>Results "), "page", F.lit("</title>"))), other, F.when(lost, "").otherwise(line), F.lit("<table><tbody>"), "rows", F.lit("</tbody></table>"))
     seen = P.snapshot_of(made.select("page", body.alias("body")))
-    return seen.select("page", "title", "grid_rows", markers.classify(F.lit("https://www.example.com/"), F.col("title"), F.col("text"), F.col("grid_rows"), F.when(lost, "").otherwise(F.regexp_replace("pager", r"^.*(1 - )", "$1")), site)["kind"].alias("kind"))
+    return seen.select("page", "title", "grid_rows", "pager", markers.classify(F.lit("https://www.example.com/"), F.col("title"), F.col("text"), F.col("grid_rows"), F.col("pager"), site)["kind"].alias("kind"))
+
+
+def _text_sql(markup: str) -> str:
+    bare = f"regexp_replace(regexp_replace({markup}, '<!--.*?-->', '', 'gs'), '<[^>]*>', '', 'g')"
+    for entity, shown in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        bare = f"replace({bare}, '{entity}', '{shown}')"
+    return bare
 
 
-@query("SELECT page_id, md5('Tom & Jerry <3 ' || page_id || ' end') AS content FROM pages")
+@query(f"""
+    WITH p AS (SELECT page_id, html, coalesce(nullif(strpos(html, '<script>'), 0), length(html) + 1) AS a, coalesce(nullif(strpos(html, '</script>'), 0), length(html) + 1) AS b FROM pages)
+    SELECT page_id, md5({_text_sql("substr(html, 1, a - 1)")} || substr(html, a + 8, greatest(0, b - a - 8)) || {_text_sql("substr(html, b)")}) AS content FROM p""")
 def q67_text_content(spark, d):
-    markup = F.concat(F.lit("<p>Tom &amp; <b>Jerry</b> &lt;3 "), "page_id", F.lit("<br></p> end<!-- not this -->"))
-    return table(spark, d, "pages").select("page_id", F.md5(P.text_content(markup)).alias("content"))
+    """The text of raw pages: a script's content is text too, whatever tags it names; comments are not."""
+    return table(spark, d, "pages").select("page_id", F.md5(P.text_content(F.col("html"))).alias("content"))
 
 
 # Identity, requests, texts
@@ -369,13 +476,14 @@ def q77_finish(spark, d):
          e AS (SELECT query, min(seq) FILTER (state <> 'open') AS stop, max(seq) AS last FROM s GROUP BY 1)
     SELECT s.query, CAST(s.seq + 1 AS INTEGER) AS attempts, s.state FROM s JOIN e ON s.query = e.query AND s.seq = coalesce(e.stop, e.last)""")
 def q78_stream_outcomes(spark, d):
-    """Attempts as a stream; of each query the last that was told of it. Then the tasks that are left."""
+    """Attempts as a stream of four micro-batches; of each query the last that was told of it."""
     from ..streaming import walks
 
     at = _path(spark, "outcomes")
     kind = F.col("event_type")
     result = F.when(kind == "purchase", "results").when(kind == "error", "blocked").otherwise("hiccup")
-    log = walks.from_table(spark, f"{d}/events.parquet").select(F.col("user_id").cast("string").alias("query"), F.col("event_id").alias("seq"), result.alias("result"))
+    files = walks.in_files(table(spark, d, "events"), F.col("event_id"), f"{at}/events")
+    log = walks.from_table(spark, files).select(F.col("user_id").cast("string").alias("query"), F.col("event_id").alias("seq"), result.alias("result"))
     told = walks.outcomes(log, 9).writeStream.outputMode("update").option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
     told.foreachBatch(lambda batch, k: batch.withColumn("batch", F.lit(k)).write.mode("append").parquet(f"{at}/rows")).start().awaitTermination()
     return spark.read.parquet(f"{at}/rows").groupBy("query").agg(F.max_by(F.struct("attempts", "state"), "batch").alias("s")).select("query", "s.attempts", "s.state")
@@ -387,8 +495,9 @@ def q79_stream_append(spark, d):
     from ..streaming import walks
 
     at = _path(spark, "stored")
+    files = walks.in_files(table(spark, d, "events"), F.col("event_id"), f"{at}/events", 3)
     for again in range(2):
-        rows = walks.from_table(spark, f"{d}/events.parquet").select("event_id", F.concat(F.lit("User "), "user_id").alias("query"), *[F.col("event_type").alias(c) if c == "record_id" else F.lit(0 if c == "number" else "").alias(c) for c in COLUMNS])
+        rows = walks.from_table(spark, files).select("event_id", F.concat(F.lit("User "), "user_id").alias("query"), *[F.col("event_type").alias(c) if c == "record_id" else F.lit(0 if c == "number" else "").alias(c) for c in COLUMNS])
         walks.stored(rows, f"{at}/rows", f"{at}/state{again}", ["event_id"]).awaitTermination()
     return sinks.written(spark, f"{at}/rows").select("query_key", "row_key")
 
@@ -403,3 +512,64 @@ def q80_open_tasks(spark, d):
     state = F.when(F.col("c_custkey") % 4 == 0, "done").when(F.col("c_custkey") % 4 == 2, "failed").otherwise("open")
     left = walks.open_tasks(c.select(F.col("c_name").alias("name"), "c_custkey"), c.select(F.col("c_name").alias("query"), state.alias("state")))
     return left.select("name", walks.frozen(F.col("c_custkey") % 10, F.when(F.col("c_custkey") % 10 < 3, 5).otherwise(1)).alias("frozen"))
+
+
+def _replayed(stream, at: str):
+    """A stateful stream over all that is there, to rows."""
+    kept = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
+    kept.start(f"{at}/rows").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
+
+
+@query("""
+    WITH p AS (SELECT epoch_ms(ts) AS at FROM events WHERE event_type = 'error' UNION ALL SELECT epoch_ms(TIMESTAMP '2100-01-01')),
+         g AS (SELECT at, CASE WHEN at - lag(at) OVER (ORDER BY at) >= 600000 THEN 1 ELSE 0 END AS fresh FROM p),
+         n AS (SELECT at, sum(fresh) OVER (ORDER BY at ROWS UNBOUNDED PRECEDING) AS island FROM g),
+         i AS (SELECT min(at) AS first, max(at) + 600000 AS until FROM n GROUP BY island)
+    SELECT CAST(event_id AS VARCHAR) AS name, epoch_ms(ts) AS at, coalesce((SELECT until FROM i WHERE first <= epoch_ms(ts) AND epoch_ms(ts) < until), epoch_ms(ts)) AS admitted FROM events WHERE event_type <> 'error'""")
+def q84_intake_freeze(spark, d):
+    """Errors pause intake for ten minutes; tasks that come meanwhile wait in state, over several micro-batches. None is let in early, none is lost."""
+    from ..streaming import timers, walks
+
+    at, end = _path(spark, "intake"), F.lit("2100-01-01").cast("timestamp_ntz")
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").cast("string").alias("name"), (F.col("event_type") == "error").alias("pause"))
+    last = spark.range(1).select(end.alias("ts"), F.lit("").alias("name"), F.lit(True).alias("pause"))
+    files = walks.in_files(events.union(last), telemetry.micros("ts"), f"{at}/events", 5)
+    stream = walks.from_table(spark, files).withColumn("ts", F.col("ts").cast("timestamp"))
+    let = timers.intake(stream.filter("NOT pause").select("name", "ts"), stream.filter("pause").select("ts"), 600_000)
+    return _replayed(let, at).select("name", "at", "admitted")
+
+
+@query("""
+    WITH b AS (SELECT CAST(user_id AS VARCHAR) AS query, event_type AS stage, epoch_ms(ts) AS at, lead(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS next FROM events),
+         s AS (SELECT *, at + CASE stage WHEN 'view' THEN 43200000 WHEN 'error' THEN 10800000 ELSE 21600000 END AS due FROM b WHERE stage <> 'purchase')
+    SELECT query, stage, due AS silent_at FROM s WHERE next IS NULL OR next >= due""")
+def q85_silence_by_stage(spark, d):
+    """Beats in several micro-batches. How long a query may be silent depends on the stage that it told last: views may take twice the watchdog's
+    budget, which comes from the settings, errors half of it; a purchase ends the watch."""
+    from ..sources import config
+    from ..streaming import timers, walks
+
+    at, settings = _path(spark, "silence"), config.loaded(None, ["--watchdog-ms", str(6 * 3_600_000)])
+    settings.validate()
+    budget = settings.watchdog()
+    beats = table(spark, d, "events").select(F.col("user_id").cast("string").alias("query"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").alias("seq"), F.col("event_type").alias("stage"))
+    last = beats.select("query").distinct().select("query", F.lit("2100-01-01").cast("timestamp_ntz").alias("ts"), F.lit(0).cast("long").alias("seq"), F.lit("purchase").alias("stage"))
+    files = walks.in_files(beats.union(last), telemetry.micros("ts"), f"{at}/beats", 4)
+    stream = walks.from_table(spark, files).withColumn("ts", F.col("ts").cast("timestamp"))
+    return _replayed(timers.silences(stream, {"view": 2 * budget, "error": budget // 2}, budget, ("purchase",)), at)
+
+
+@query("""
+    SELECT c_name AS name, CAST(CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE least(c_custkey % 5 + 1, 3) END AS INTEGER) AS attempts, CASE WHEN c_custkey % 11 <> 0 AND c_custkey % 5 < 3 THEN 'done' ELSE 'failed' END AS state
+    FROM customer""")
+def q86_requeue(spark, d):
+    """A queue that its own outcomes feed: what is not done is put back, until nothing is, or a task has had its attempts."""
+    from ..streaming import timers
+
+    c = table(spark, d, "customer").select(F.col("c_name").alias("name"), "c_custkey")
+    state = F.when(F.col("c_custkey") % 11 == 0, "failed").when(F.col("attempts") >= F.col("c_custkey") % 5, "done").otherwise("open")
+    work = timers.Queue(spark, _path(spark, "queue"))
+    for part in range(2):
+        work.put(c.filter(F.col("c_custkey") % 2 == part).select("name", F.lit(0).alias("attempts")), f"first-{part}")
+    return work.drained(lambda tasks: tasks.join(c, "name").select("name", state.alias("state")), most=3).select("name", "attempts", "state")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +20,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _numbered(batches):
+    """Lines of splits (file, start) with their place in the split, which is read in order."""
+    at, seen = None, 0
+    for batch in batches:
+        files, starts, places = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+        for split in zip(files, starts, strict=True):
+            seen = seen + 1 if split == at else 0
+            at = split
+            places.append(seen)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=["file", "start", "value", "place"])
+
+
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, line): each file whole, so that positions are those in the file. For lists, not for outputs."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", "\r?\n"))).select("file", "pos", F.when(F.col("pos") == 0, F.regexp_replace("col", r"^\x{FEFF}", "")).otherwise(F.col("col")).alias("line"))
+    """(file, pos, line): the lines of a file, or of all files of a folder or glob in the order of their names, with their position in the whole.
+
+    Files are read in splits, by as many tasks. Lines are numbered within each split, and the number of lines in earlier splits, one row for each split,
+    is added; the splits of one session are the same in both readings. Lines end with a line feed, or a carriage return and one; a byte order mark at a file's start is none of it.
+    """
+    where = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    read = spark.read.option("lineSep", "\n").text(path).select(where.alias("at"), "value").select("at.file", "at.start", "value")
+    placed = read.mapInArrow(_numbered, "file string, start long, value string, place long")
+    sizes = placed.groupBy("file", "start").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select(F.col("file").alias("f"), F.col("start").alias("s"), before.alias("before"))
+    found = placed.join(offsets, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")))
+    line = F.regexp_replace("value", "\r$", "")
+    first = (F.col("start") == 0) & (F.col("place") == 0)
+    return found.select("file", (F.col("before") + F.col("place")).alias("pos"), F.when(first, F.regexp_replace(line, r"^\x{FEFF}", "")).otherwise(line).alias("line"))
 
 
 def lines(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
@@ -68,7 +93,7 @@ def values_from_row(prefix: str = "") -> list[F.Column]:
 
 
 def output_rows(spark: SparkSession, path: str, finished: DataFrame | None = None) -> DataFrame:
-    """(part, stamp, query, the row's columns) of an output and its rotated parts `path.N`, N from 1; the active file is the last part.
+    """(part, stamp, query, the row's columns) of an output and its rotated parts `path.N`, N from 1, files or folders; the active one is the last part.
 
     Lines of fewer than 13 fields are left out and further fields ignored; quotes are data. Rows of the queries in finished (name) are
     left out before anything else is done with them. Order among rows is not kept; part is.
@@ -76,7 +101,7 @@ def output_rows(spark: SparkSession, path: str, finished: DataFrame | None = Non
     paths = [p for p in (path, f"{path}.[0-9]*") if exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], T.StructType([T.StructField("part", T.LongType()), T.StructField("stamp", T.StringType()), T.StructField("query", T.StringType()), *ROW.fields]))
-    part = F.coalesce(F.regexp_extract(F.col("_metadata.file_path"), r"\.(\d+)$", 1).try_cast("long"), F.lit(2**62))
+    part = F.coalesce(F.regexp_extract(F.col("_metadata.file_path"), r"\.(\d+)(?:/[^/]+)?$", 1).try_cast("long"), F.lit(2**62))
     fields = F.split("value", "\t")
     read = spark.read.text(paths).select(part.alias("part"), fields.alias("f")).filter("part >= 1 AND size(f) >= 13")
     found = read.select("part", F.get("f", 0).alias("stamp"), F.get("f", 1).alias("query"), *rows_from_values(F.slice("f", 3, 11)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -205,8 +206,83 @@ def text_content(c: Column) -> Column:
     return run(c)
 
 
-def snapshot_of(pages: DataFrame, body: str = "body") -> DataFrame:
-    """What the classifier looks at, of captured HTML pages: title, text, rows of the grid and position line."""
-    bare = F.regexp_replace(F.col(body), r"(?is)<(script|style)\b.*?</\1>", " ")
-    rows = F.coalesce(F.size(parsed_grid(F.col(body))), F.lit(0))
-    return pages.withColumns({"title": F.regexp_extract(F.col(body), r"(?is)<title[^>]*>(.*?)</title>", 1), "text": normalise(F.regexp_replace(bare, "<[^>]*>", " ")), "grid_rows": F.greatest(rows, F.lit(0)), "pager": F.regexp_extract(F.col(body), r"(\d[\d,\s\p{Zs}]*[-–][\d,\s\p{Zs}]*/[\s\p{Zs}]*\d[\d,\p{Zs}]*)", 1)})
+#: Elements whose content is never shown as text, and those that have none.
+_UNSEEN, _VOID = frozenset(("script", "style", "noscript", "template", "head", "title")), frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+class _Snapshot(_Grid):
+    """A page in one pass: title, shown text, rows of the grid, and the text of the position line's own element.
+
+    A site keeps a copy of its result pane for each way to search and shows one; what an element with `hidden` or `display: none` holds is not seen.
+    """
+
+    def __init__(self, pager_class: str) -> None:
+        super().__init__()
+        self.pager_class = pager_class
+        self.titles: list[str] = []
+        self.shown: list[str] = []
+        self.line: str | None = None
+        #: Open elements: (tag, whether what they hold is seen, whether it is the position line).
+        self.open: list[tuple[str, bool, bool]] = []
+
+    def _seen(self) -> bool:
+        return not self.open or self.open[-1][1]
+
+    def handle_starttag(self, tag, attrs):
+        at = dict(reversed(attrs))
+        seen = self._seen() and tag not in _UNSEEN and "hidden" not in at and not re.search(r"display\s*:\s*none", at.get("style") or "", re.I)
+        own = self.pager_class in (at.get("class") or "").split()
+        if tag not in _VOID:
+            line = bool(self.open and self.open[-1][2])
+            if own and seen and self.line is None:
+                self.line, line = "", True
+            self.open.append((tag, seen, line))
+        if self._seen():
+            self.shown.append(" ")
+            super().handle_starttag(tag, attrs)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        if self._seen():
+            self.shown.append(" ")
+            super().handle_endtag(tag)
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if at is not None:
+            del self.open[at:]
+
+    def handle_data(self, data):
+        if any(tag == "title" for tag, _, _ in self.open):
+            self.titles.append(data)
+        elif self._seen():
+            self.shown.append(data)
+            if self.open and self.open[-1][2]:
+                self.line += data
+            super().handle_data(data)
+
+
+def snapshot(markup: str | None, pager_class: str) -> tuple[str, str, int, str]:
+    """(title, text, rows of the grid, position line) of a page's markup; empty ones where it has none."""
+    parser = _Snapshot(pager_class)
+    parser.feed(markup or "")
+    parser.close()
+    parser._close_row()
+    return "".join(parser.titles).strip(), "".join(parser.shown), len(parser.rows), " ".join((parser.line or "").split())
+
+
+def snapshot_of(pages: DataFrame, body: str = "body", pager_class: str = "pagerPos") -> DataFrame:
+    """What the classifier looks at, of captured HTML pages: title, text, grid_rows and pager, the text of the shown element of class pager_class.
+
+    What only a script or an element that is not shown holds is none of these. A null page has no text, no rows and no position line.
+    """
+
+    @F.pandas_udf("title string, text string, grid_rows int, pager string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for markup in batches:
+            yield pd.DataFrame([snapshot(m, pager_class) for m in markup], columns=["title", "text", "grid_rows", "pager"])
+
+    seen = pages.withColumn("_seen", run(F.col(body)))
+    return seen.withColumns({"title": F.col("_seen.title"), "text": normalise(F.col("_seen.text")), "grid_rows": F.col("_seen.grid_rows"), "pager": F.col("_seen.pager")}).drop("_seen")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def append_rows(rows: DataFrame, path: str, order: list[str], batch: tuple[str,
     return Ledger(rows.sparkSession, path).commit([Append("rows", with_key(rows), ["query_key", "row_key"], order)], batch)
 
 
-def append_indexed(rows: DataFrame, path: str, order: list[str], checkpoints: DataFrame | None = None, batch: tuple[str, int] | None = None) -> Done:
+def append_indexed(rows: DataFrame, path: str, order: list[str], checkpoints: DataFrame | None = None, batch: tuple[str, int] | None = None, on_step: Callable[[str], None] | None = None) -> Done:
     """In one commit: new rows, their entries in the index (query, row_hash), and the checkpoints (query, shard, page, rows) that they reach, of
     several of one walk the furthest. A crash leaves all of it or none, so a checkpoint never runs ahead of its rows, nor rows of their index."""
     keyed = with_key(rows)
@@ -30,7 +32,7 @@ def append_indexed(rows: DataFrame, path: str, order: list[str], checkpoints: Da
     changes = [Append("rows", keyed, ["query_key", "row_key"], order), Append("index", entries, ["query", "row_hash"], ["query"])]
     if checkpoints is not None:
         changes.append(Put("checkpoints", checkpoints.select("query", "shard", "page", "rows"), ["query", "shard"], ["page", "rows"]))
-    return Ledger(rows.sparkSession, path).commit(changes, batch)
+    return Ledger(rows.sparkSession, path, on_step=on_step).commit(changes, batch)
 
 
 def finish(spark: SparkSession, path: str, finished: DataFrame) -> Done:

@@ -76,6 +76,20 @@ def data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(out)
 
 
+def fresh() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Gives a folder that nobody else knows yet its name; False, and the folder is gone, where the name is taken."""
+    files, to = file_system(spark, target), hadoop_path(spark, target)
+    files.mkdirs(to.getParent())
+    if not files.exists(to) and files.rename(hadoop_path(spark, source), to):
+        return True
+    files.delete(hadoop_path(spark, source), True)
+    return False
+
+
 def delete(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(hadoop_path(spark, path), True)
 

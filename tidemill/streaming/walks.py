@@ -109,6 +109,16 @@ def from_table(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
     return stream.option("pathGlobFilter", name).parquet(folder) if one else stream.parquet(path)
 
 
+def in_files(frame: DataFrame, order: Column, path: str, files: int = 4) -> str:
+    """Writes frame as files of consecutive rows by order (a long), one after the other, so that a stream over path takes them in that order."""
+    marked = frame.withColumn("_at", order)
+    cuts = sorted(set(marked.agg(F.percentile_approx("_at", [i / files for i in range(1, files)])).first()[0] or []))
+    for i in range(len(cuts) + 1):
+        low = F.lit(True) if not i else F.col("_at") > cuts[i - 1]
+        marked.filter(low & (F.col("_at") <= cuts[i]) if i < len(cuts) else low).drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile()
