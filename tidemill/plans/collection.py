@@ -180,7 +180,7 @@ def q81_writers_at_once(spark, d):
 
 
 @query("""
-    SELECT lower(n_name) AS query, count(*) AS n_rows, count(*) AS n_index, CAST(max(c_custkey) FILTER (c_custkey % 3 <> 0) AS INTEGER) AS page
+    SELECT lower(n_name) AS query, count(*) AS n_rows, count(*) AS n_index, CAST(coalesce(max(c_custkey) FILTER (c_custkey % 3 = 2), max(c_custkey) FILTER (c_custkey % 3 = 1)) AS INTEGER) AS page
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 <> 1 GROUP BY 1
     UNION ALL SELECT lower(n_name), count(*), 0, NULL FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 = 1 GROUP BY 1""")
 def q82_killed_writers(spark, d):
@@ -334,8 +334,9 @@ def q65_json_else_html(spark, d):
 
 
 @query("""
-    SELECT CAST(c_custkey // 50 AS BIGINT) AS page, CASE WHEN (c_custkey // 50) % 3 = 0 THEN '' ELSE 'Results ' || (c_custkey // 50) END AS title, CAST(count(*) AS INTEGER) AS grid_rows,
-           CASE WHEN (c_custkey // 50) % 3 = 0 THEN '' ELSE '1 - ' || count(*) || ' / ' || count(*) END AS pager, CASE WHEN (c_custkey // 50) % 3 = 0 THEN 'unknown' ELSE 'results' END AS kind FROM customer GROUP BY 1, 2, 4""")
+    SELECT page, CASE WHEN page % 3 = 0 THEN '' ELSE 'Results ' || page END AS title, CAST(n AS INTEGER) AS grid_rows, CASE WHEN page % 3 = 0 THEN '' ELSE '1 - ' || n || ' / ' || n END AS pager,
+           CASE WHEN page % 3 = 0 THEN 'unknown' ELSE 'results' END AS kind
+    FROM (SELECT CAST(c_custkey // 50 AS BIGINT) AS page, count(*) AS n FROM customer GROUP BY 1)""")
 def q66_snapshots(spark, d):
     """Captured HTML becomes what the classifier looks at; a grid with a position line is a page of results."""
     from ..functions import markers
@@ -522,11 +523,12 @@ def _replayed(stream, at: str):
 
 
 @query("""
-    WITH p AS (SELECT epoch_ms(ts) AS at FROM events WHERE event_type = 'error' UNION ALL SELECT epoch_ms(TIMESTAMP '2100-01-01')),
-         g AS (SELECT at, CASE WHEN at - lag(at) OVER (ORDER BY at) >= 600000 THEN 1 ELSE 0 END AS fresh FROM p),
-         n AS (SELECT at, sum(fresh) OVER (ORDER BY at ROWS UNBOUNDED PRECEDING) AS island FROM g),
-         i AS (SELECT min(at) AS first, max(at) + 600000 AS until FROM n GROUP BY island)
-    SELECT CAST(event_id AS VARCHAR) AS name, epoch_ms(ts) AS at, coalesce((SELECT until FROM i WHERE first <= epoch_ms(ts) AND epoch_ms(ts) < until), epoch_ms(ts)) AS admitted FROM events WHERE event_type <> 'error'""")
+    WITH e AS (SELECT *, epoch_us(ts) // 1000 AS t FROM events),
+         p AS (SELECT t FROM e WHERE event_type = 'error' UNION ALL SELECT epoch_ms(TIMESTAMP '2100-01-01')),
+         g AS (SELECT t, CASE WHEN t - lag(t) OVER (ORDER BY t) >= 600000 THEN 1 ELSE 0 END AS fresh FROM p),
+         n AS (SELECT t, sum(fresh) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM g),
+         i AS (SELECT min(t) AS first, max(t) + 600000 AS until FROM n GROUP BY island)
+    SELECT CAST(event_id AS VARCHAR) AS name, t AS "at", coalesce(until, t) AS admitted FROM e LEFT JOIN i ON first <= t AND t < until WHERE event_type <> 'error'""")
 def q84_intake_freeze(spark, d):
     """Errors pause intake for ten minutes; tasks that come meanwhile wait in state, over several micro-batches. None is let in early, none is lost."""
     from ..streaming import timers, walks
@@ -541,8 +543,8 @@ def q84_intake_freeze(spark, d):
 
 
 @query("""
-    WITH b AS (SELECT CAST(user_id AS VARCHAR) AS query, event_type AS stage, epoch_ms(ts) AS at, lead(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS next FROM events),
-         s AS (SELECT *, at + CASE stage WHEN 'view' THEN 43200000 WHEN 'error' THEN 10800000 ELSE 21600000 END AS due FROM b WHERE stage <> 'purchase')
+    WITH b AS (SELECT CAST(user_id AS VARCHAR) AS query, event_type AS stage, epoch_us(ts) // 1000 AS t, lead(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS next FROM events),
+         s AS (SELECT *, t + CASE stage WHEN 'view' THEN 43200000 WHEN 'error' THEN 10800000 ELSE 21600000 END AS due FROM b WHERE stage <> 'purchase')
     SELECT query, stage, due AS silent_at FROM s WHERE next IS NULL OR next >= due""")
 def q85_silence_by_stage(spark, d):
     """Beats in several micro-batches. How long a query may be silent depends on the stage that it told last: views may take twice the watchdog's

@@ -87,7 +87,7 @@ def intake(tasks: DataFrame, pauses: DataFrame, freeze_ms: int, late: str = "0 s
     _with_timers(tasks.sparkSession)
     shard = F.pmod(F.xxhash64("name"), F.lit(shards))
     own = tasks.select("ts", shard.alias("shard"), "name", F.lit(1).alias("rank"))
-    stops = pauses.select("ts", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), F.lit("").alias("name"), F.lit(0).alias("rank"))
+    stops = pauses.select("ts", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit("").alias("name"), F.lit(0).alias("rank"))
     both = own.unionByName(stops).withColumn("at", F.unix_millis(F.col("ts").cast("timestamp"))).withWatermark("ts", late)
     return both.groupBy("shard").transformWithStateInPandas(_Freeze(freeze_ms), "shard long, name string, at long, admitted long", "Append", "EventTime")
 
