@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_chunks, lean
+from .common import checkpointed, in_chunks, lean, staged
 from .windows import rolling
 
 WINDOW = 8
@@ -19,6 +19,8 @@ WINDOW = 8
 LITERALS, LONGER = 4, (16, 32)
 #: Items of fewer tokens are matched as they are, not renamed: nearly any text holds their templates.
 RENAMED_FROM = 5
+#: A window in more items than this is common. It decides how documents are found, not which.
+COMMON = 8
 #: Share of an item's tokens that must be matched along one chain of alignments.
 COVERAGE = 0.4
 #: A copy with insertions may be so many times as long as its item.
@@ -271,6 +273,54 @@ def judged(matches: list[dict]) -> tuple[int, bool]:
     return max((verdict(x) for x in tried), key=lambda v: (v[0], not v[1]))
 
 
+def _item_key(column: str) -> F.Column:
+    """An item's id; those without one are one item."""
+    return F.coalesce(F.col(column), F.lit(-(2**63)))
+
+
+def spared(windows: list[tuple[int, int, int, int]], least: float) -> set[int]:
+    """Hashes of the windows (items that have it, hash, pos, n) of one item that may be left out of the search for it: the most common ones, as long as
+    they cover fewer than `least` tokens. A document that holds enough of the item holds another window of it."""
+    at: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for items, h, pos, n in windows:
+        if items > COMMON:
+            at.setdefault((-items, h), []).append((pos, n))
+    covered: set[int] = set()
+    out: set[int] = set()
+    for (_, h), places in sorted(at.items()):
+        more = covered.union(*(range(pos, pos + n) for pos, n in places))
+        if len(more) < least:
+            covered = more
+            out.add(h)
+    return out
+
+
+def _common(items: DataFrame, coverage: float) -> DataFrame:
+    """(item_key, h) of the windows of each item that spared() leaves out. The windows of one item, bounded by its text, are in one row."""
+    shared = items.select("h", _item_key("id").alias("item_key")).distinct().groupBy("h").agg(F.count("*").alias("items")).filter(F.col("items") > COMMON)
+    windows = items.select(_item_key("id").alias("item_key"), "tokens", "h", "pos", "n").join(shared, "h")
+    gathered = windows.groupBy("item_key").agg(F.min("tokens").alias("tokens"), F.collect_list(F.struct("items", "h", "pos", "n")).alias("windows"))
+
+    def run(batches):
+        for batch in batches:
+            rows = [(key, h) for key, tokens, w in zip(*(c.to_pylist() for c in batch.columns), strict=True) for h in sorted(spared([tuple(x.values()) for x in w], coverage * tokens))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["item_key", "h"])
+
+    return checkpointed(gathered.mapInArrow(run, "item_key long, h long"))
+
+
+def meetings(windows: DataFrame, theirs: DataFrame, common: DataFrame) -> DataFrame:
+    """The documents' windows (h, row, ...) that are windows of items (h, item_key, ...). Those in common (item_key, h) are looked up only for
+    a document and item that meet in another one."""
+    if common.isEmpty():
+        return windows.join(theirs, "h").drop("item_key")
+    own = staged(windows, "windows")
+    first = own.join(theirs.join(common, ["item_key", "h"], "left_anti"), "h")
+    pairs = first.select("row", "item_key").distinct()
+    rest = pairs.join(theirs.join(common, ["item_key", "h"], "left_semi"), "item_key").join(own, ["row", "h"])
+    return first.unionByName(rest).drop("item_key")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, matched (tokens), item_tokens, renamed (slots differ).
 
@@ -278,8 +328,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     matches of one document and item are gathered by stretches of the document, each match in the two stretches of SPREAD items' length that
     overlap there. Within one, matches are chained in order of position over all shifts, as words may have been inserted or dropped.
     Template windows count only if all slots of the chain can be renamed consistently. A Bloom filter of the benchmark's windows, of bounded
-    size, is broadcast to the documents' side; what passes it is joined exactly by hash, at every size. Rows of the join hold positions and
-    slots' values, no other words. An item that is shorter than a window is found in a document once for each way its slots are filled.
+    size, is broadcast to the documents' side; what passes it is joined exactly by hash, at every size. Windows that many items share, as an
+    opening phrase, and that cannot reach the coverage by themselves are looked up only for a document and item that share another window.
+    Rows of the join hold positions and slots' values, no other words. An item that is shorter than a window is found in a document once for each way its slots are filled.
 
     Null and empty texts match nothing, and so does an item without a token; a null id is given back; repeated rows give one row; other
     columns are not read; an empty table on either side gives no rows; texts of any length are cut into windows whole.
@@ -313,8 +364,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     h, start = h[once], start[once]
                 yield from cut.rows(ids, kind, n, start, h)
 
-    theirs = items.select("h", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), "places", F.col("slots").alias("item_slots"))
-    found = side(docs, id_col).mapInArrow(lean(of_docs), SCHEMA).drop("places", "tokens").join(theirs, "h")
+    theirs = items.select("h", F.col("id").alias("item_id"), _item_key("id").alias("item_key"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), "places", F.col("slots").alias("item_slots"))
+    found = meetings(side(docs, id_col).mapInArrow(lean(of_docs), SCHEMA).drop("places", "tokens"), theirs, _common(items, coverage))
     match = F.struct("kind", "n", "item_pos", "pos", "places", "slots", "item_slots")
     stretch = F.floor(F.col("pos") / (SPREAD * F.col("item_tokens")))
     placed = found.withColumn("stretch", F.explode(F.array(stretch, stretch - 1)))
