@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import FEW, shared_dir, staged
 
 EOL = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -22,14 +22,16 @@ READ_SCHEMA = "page_id long, url string, record_type string, payload_bytes long,
 def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """pages as (page_id, url, payload, payload_bytes, payload_digest, refers_to): refers_to is null for what is written as a response.
 
-    Headers are aggregated by (digest, bytes), with map-side partial sums, so a payload that a third of all pages share costs one row a task.
-    The join back to the pages is a left outer one, whose large partitions adaptive execution splits. Null payloads count as empty; pages
+    Headers (id, digest, bytes) alone are shuffled: they are aggregated by digest, with map-side partial sums, so a payload that a third of all
+    pages share costs one row a task. The digests that occur again, with the page they refer to, are staged and counted; up to FEW are broadcast
+    to the pages, whose payloads stay where they are, beyond that both sides are shuffled and adaptive execution splits large partitions. Null payloads count as empty; pages
     without an id are never referred to; rows that repeat the id of a response are responses too.
     """
     full = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     full = full.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")})
     heads = full.filter(F.col("payload_bytes") >= min_payload).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
-    shared = heads.filter("n > 1 AND keeper IS NOT NULL").select("payload_digest", "payload_bytes", "keeper")
+    shared = staged(heads.filter("n > 1 AND keeper IS NOT NULL").select("payload_digest", "payload_bytes", "keeper"), "digests")
+    shared = F.broadcast(shared) if shared.count() <= FEW else shared
     revisit = F.when(F.col("page_id").eqNullSafe(F.col("keeper")), None).otherwise(F.col("keeper"))
     return full.join(shared, ["payload_digest", "payload_bytes"], "left").select("page_id", "url", "payload", "payload_bytes", "payload_digest", revisit.alias("refers_to"))
 
