@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import first_marker, from_site, markers_held, normalise, pager
+from .text import first_marker, from_site, markers_held, normalise, pager, snippet
 
 # The sentences and codes of each kind of page.
 APP_ERROR = ("an error occurred processing your request", "please report the error")
@@ -147,6 +147,22 @@ def classify(url: Column, title: Column, text: Column, grid_rows: Column, pager_
     return chain.when(own, decided("monitor", name(site.control))).otherwise(decided("unknown", F.lit("")))
 
 
+def faulty(kind: Column) -> Column:
+    """Whether a page of this kind is an error that the attempt ends with."""
+    return F.coalesce(kind.isin(*FAULTY), F.lit(False))
+
+
+def terminal(kind: Column) -> Column:
+    """Whether a page of this kind ends the search: there are results, or there are none."""
+    return F.coalesce(kind.isin(*TERMINAL), F.lit(False))
+
+
+def page_fault(kind: Column, marker: Column, text: Column, where: str | Column, shown: int = 200) -> Column:
+    """A page's error as struct(kind, marker, where, snippet), with the step at which it was met; null for a page that is no error, or is not decided yet."""
+    at = F.lit(where) if isinstance(where, str) else where
+    return F.when(faulty(kind), F.struct(kind.alias("kind"), marker.alias("marker"), at.alias("where"), snippet(text, shown).alias("snippet")))
+
+
 def graded(status: Column, body: Column) -> Column:
     """A response's grade: blocked, http_error, ok (JSON), app_error or not_json."""
     peek = F.regexp_replace(body, r"^[\x{FEFF} \t\r\n]+", "")

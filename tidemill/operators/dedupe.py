@@ -46,3 +46,9 @@ def membership(rows: DataFrame, members: DataFrame, by: str, inside: bool = True
 
 def numbered_from(rows: DataFrame, partition: list[str], order: list[str], start: int = 0) -> DataFrame:
     return rows.withColumn("number", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)) - 1 + start)
+
+
+def end_of(order: str, value: str, where: Column, last: bool, default: str = "") -> Column:
+    """As an aggregate: the value of the first or last row, by order, of those where `where` holds; default if there is none."""
+    at = F.when(where, F.col(order))
+    return F.coalesce((F.max_by if last else F.min_by)(value, at), F.lit(default))

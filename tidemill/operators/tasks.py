@@ -59,3 +59,9 @@ def limited(pages: DataFrame, by: list[str], max_pages: int) -> DataFrame:
 def in_page_order(pages: DataFrame, query: str = "query", page: str = "page") -> DataFrame:
     """Delivery in order, however pages came: ranges of queries to tasks, sorted within each."""
     return pages.repartitionByRange(query, page).sortWithinPartitions(query, page)
+
+
+def assembled(parts: DataFrame, by: list[str], order: str, text: Column, between: str = "\n") -> DataFrame:
+    """(by, joined): the texts of each key's parts in order, however they came. A key's parts make one text, so they are one row anyway."""
+    found = parts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), text.alias("text")))).alias("parts"))
+    return found.select(*by, F.array_join("parts.text", between).alias("joined"))

@@ -153,8 +153,8 @@ def q11_status_label(spark, d):
 @query("""
     SELECT conv_id, coalesce(max_by(text, turn) FILTER (role = 'user'), '') AS last_user, coalesce(min_by(text, turn) FILTER (role = 'assistant'), '') AS first_assistant FROM conversations GROUP BY conv_id""")
 def q12_pick(spark, d):
-    own = lambda role: F.when(F.col("role") == role, F.col("turn"))
-    return table(spark, d, "conversations").groupBy("conv_id").agg(F.coalesce(F.max_by("text", own("user")), F.lit("")).alias("last_user"), F.coalesce(F.min_by("text", own("assistant")), F.lit("")).alias("first_assistant"))
+    pick = lambda role, last: dedupe.end_of("turn", "text", F.col("role") == role, last)
+    return table(spark, d, "conversations").groupBy("conv_id").agg(pick("user", True).alias("last_user"), pick("assistant", False).alias("first_assistant"))
 
 
 # Planning and repeats
@@ -393,8 +393,7 @@ def q34_pick_weight(spark, d):
 
 @query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS joined FROM conversations GROUP BY conv_id")
 def q35_ordered_merge(spark, d):
-    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("t")))).alias("s"))
-    return turns.select("conv_id", F.array_join(F.col("s.t"), "\n").alias("joined"))
+    return tasks.assembled(table(spark, d, "conversations"), ["conv_id"], "turn", F.concat("role", F.lit(": "), "text"))
 
 
 @query("SELECT item_id, text AS back, true AS same FROM benchmark")

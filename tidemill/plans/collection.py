@@ -575,3 +575,58 @@ def q86_requeue(spark, d):
     for part in range(2):
         work.put(c.filter(F.col("c_custkey") % 2 == part).select("name", F.lit(0).alias("attempts")), f"first-{part}")
     return work.drained(lambda tasks: tasks.join(c, "name").select("name", state.alias("state")), most=3).select("name", "attempts", "state")
+
+
+# Faults, lenient walks, draws, hashes
+
+
+@query("""
+    WITH k AS (SELECT event_id, event_type, CASE event_id % 6 WHEN 0 THEN 'results' WHEN 1 THEN 'block' WHEN 2 THEN 'maintenance' WHEN 3 THEN 'no results' WHEN 4 THEN 'proxy error' END AS kind FROM events)
+    SELECT event_id, kind IN ('block', 'maintenance', 'proxy error') AND kind IS NOT NULL AS faulty, coalesce(kind IN ('results', 'no results'), false) AS terminal,
+           CASE WHEN kind IN ('block', 'maintenance', 'proxy error') THEN kind || '|m|collect|' || left('Page of ' || event_type, 12) || CASE WHEN length('Page of ' || event_type) > 15 THEN '...' ELSE substr('Page of ' || event_type, 13) END END AS fault
+    FROM k""")
+def q87_page_faults(spark, d):
+    """A page that is an error says which, by what, where it was met and how it read; one that is not decided yet is none."""
+    from ..functions import markers
+
+    i = F.col("event_id") % 6
+    kind = F.when(i == 0, "results").when(i == 1, "block").when(i == 2, "maintenance").when(i == 3, "no results").when(i == 4, "proxy error")
+    seen = table(spark, d, "events").select("event_id", kind.alias("kind"), F.concat(F.lit(" Page  of\t"), "event_type").alias("text"))
+    told = seen.withColumn("f", markers.page_fault(F.col("kind"), F.lit("m"), F.col("text"), "collect", 15))
+    return told.select("event_id", markers.faulty(F.col("kind")).alias("faulty"), markers.terminal(F.col("kind")).alias("terminal"), F.concat_ws("|", "f.kind", "f.marker", "f.where", "f.snippet").alias("fault")).withColumn("fault", F.nullif("fault", F.lit("")))
+
+
+@query("""
+    WITH p AS (SELECT l_orderkey, CAST(ceil(l_linenumber / 3.0) AS BIGINT) AS page, count(*) FILTER (l_quantity > 5) AS n_rows FROM lineitem GROUP BY ALL)
+    SELECT l_orderkey, page, n_rows, CASE WHEN n_rows = 0 THEN 'empty' END AS lenient, CASE WHEN n_rows = 0 THEN 'empty' WHEN n_rows <> 3 AND page < max(page) OVER (PARTITION BY l_orderkey) THEN 'short' END AS strict FROM p""")
+def q88_lenient_contract(spark, d):
+    """A walk in a browser takes a page of fewer rows than promised, which is a question of its data, but none without any; a replayed one takes neither."""
+    pages = table(spark, d, "lineitem").groupBy("l_orderkey", F.ceil(F.col("l_linenumber") / 3).alias("page")).agg(F.count_if(F.col("l_quantity") > 5).alias("n_rows"))
+    seen = pages.withColumn("last", F.max("page").over(Window.partitionBy("l_orderkey")))
+    told = lambda strict: verdict.page_violation(F.col("page"), (F.col("page") - 1) * 3, F.col("n_rows"), F.col("last"), 3, strict)
+    return seen.select("l_orderkey", "page", "n_rows", told(False).alias("lenient"), told(True).alias("strict"))
+
+
+@query("SELECT 'n' || n_nationkey AS endpoint, CASE WHEN n_nationkey % 5 = 0 THEN 0.0 ELSE 1.0 END::DOUBLE AS near FROM nation UNION ALL SELECT 'other', 1.0::DOUBLE")
+def q89_weighted_draws(spark, d):
+    """Lines draw an endpoint by its weight; each is drawn about as often as its weight says, within five deviations, and never one without weight."""
+    pool = table(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("endpoint"), (F.col("n_nationkey") % 5).alias("w"))
+    lines = table(spark, d, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"))
+    drawn = telemetry.assigned(lines, pool, F.col("w"), "line", seed=3)
+    n, total = lines.count(), F.sum("w").over(Window.partitionBy())
+    share = F.col("w") / total
+    counts = drawn.groupBy("endpoint").agg(F.count("*").alias("n"))
+    seen = pool.withColumn("share", share).join(counts, "endpoint", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    near = F.abs(F.col("n") - n * F.col("share")) <= 5 * F.sqrt(n * F.col("share") * (1 - F.col("share")))
+    own = seen.select("endpoint", F.when(F.col("w") == 0, F.col("n").cast("double")).otherwise(near.cast("double")).alias("near"))
+    again = drawn.join(telemetry.assigned(lines, pool, F.col("w"), "line", seed=3).withColumnRenamed("endpoint", "second"), "line")
+    return own.union(again.agg(F.lit("other").alias("endpoint"), F.min((F.col("endpoint") == F.col("second")).cast("double")).alias("near")))
+
+
+@query("""
+    WITH k AS (SELECT c_custkey, lower(n_name) || chr(0) || CASE WHEN c_custkey % 3 <> 0 THEN 'id:ROM.' || c_custkey ELSE 'c:' || concat_ws(chr(31), c_name, c_mktsegment, '', '', CAST(c_custkey AS VARCHAR)) END AS key FROM customer JOIN nation ON c_nationkey = n_nationkey),
+         h AS (SELECT c_custkey, list_reduce(list_prepend(CAST('14695981039346656037' AS HUGEINT), list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS HUGEINT))), lambda h, b: (xor(h, b) * CAST(1099511628211 AS HUGEINT)) % CAST('18446744073709551616' AS HUGEINT)) AS h FROM k)
+    SELECT c_custkey, CAST(CASE WHEN h >= CAST('9223372036854775808' AS HUGEINT) THEN h - CAST('18446744073709551616' AS HUGEINT) ELSE h END AS BIGINT) AS row_hash FROM h""")
+def q90_row_hash(spark, d):
+    keyed = sinks.with_key(_rows(spark, d))
+    return keyed.select("c_custkey", index.hashed(F.col("query_key"), F.col("row_key")).alias("row_hash"))
