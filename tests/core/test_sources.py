@@ -167,3 +167,52 @@ def test_older_index(spark, tmp_path):
     assert {tuple(r) for r in index.loaded(spark, p, out, magic, done).collect()} == {("q", 1), ("q", -2), ("q", 4)}
     for other in (put(tmp_path / "flat", b"x"), str(tmp_path / "missing")):
         assert {tuple(r) for r in index.loaded(spark, other, out, magic, done).collect()} == want
+
+
+def test_positions_over_files_and_splits(spark, tmp_path):
+    """A list of several files, read in splits of a few bytes: every line has the position that it has in the whole."""
+    texts = ["\ufeffone\r\n\r\n# note\n  two  \n" + "\n".join(f"x{i}" for i in range(60)) + "\n", "three\nONE", "\n\nlast\n"]
+    for i, t in enumerate(texts):
+        (tmp_path / "list").mkdir(exist_ok=True)
+        (tmp_path / "list" / f"part-{i}.txt").write_bytes(t.encode())
+    want = [line.rstrip("\r") for t in texts for line in t.removeprefix("\ufeff").removesuffix("\n").split("\n")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        found = lists.raw_lines(spark, str(tmp_path / "list"))
+        assert spark.read.text(str(tmp_path / "list")).select(F.spark_partition_id()).distinct().count() > 3
+        assert [r.line for r in found.orderBy("pos").collect()] == want and sorted(r.pos for r in found.collect()) == list(range(len(want)))
+        assert [r.line for r in lists.lines(spark, str(tmp_path / "list")).orderBy("pos").collect()] == ["one", "two", *[f"x{i}" for i in range(60)], "three", "ONE", "last"]
+        assert lists.store(spark, str(tmp_path / "list")).filter("name = 'one'").first().stored == "one"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_snapshot_sees_what_is_shown():
+    cell = f'<tr id="1"><td aria-describedby="{pages.ARIA}BRAND">b</td></tr>'
+    own = f'<div class="x pagerPos">1 - 2&nbsp;/ <i>955</i></div><table><tbody>{cell}</tbody></table>'
+    hidden = own.replace("955", "7").replace(">b<", ">h<")
+    title, text, rows, line = pages.snapshot(f"<head><title> T &amp; U</title><script>1 - 2 / 3</script></head><body><style>p</style>{own}<p>a<br/>b</p>", "pagerPos")
+    assert (title, rows, line) == ("T & U", 1, "1 - 2 / 955") and text.split() == ["1", "-", "2", "/", "955", "b", "a", "b"]
+    # The panes of other ways to search are not shown, wherever they stand.
+    for pane in (f'<div style="display:none">{hidden}</div>', f"<div hidden>{hidden}</div>", f"<template>{hidden}</template>"):
+        assert pages.snapshot(pane + own, "pagerPos")[2:] == (1, "1 - 2 / 955") == pages.snapshot(own + pane, "pagerPos")[2:]
+        assert pages.snapshot(pane, "pagerPos")[2:] == (0, "")
+    assert pages.snapshot("<script>1 - 2 / 3</script>", "pagerPos") == ("", "", 0, "") == pages.snapshot(None, "pagerPos")
+    assert pages.snapshot("<div class=pagerPos>1 - 1 / 1<p>torn", "pagerPos")[3] == "1 - 1 / 1torn" and pages.snapshot("</div></b>x", "pagerPos")[1].split() == ["x"]
+
+
+def test_hashes_of_many(spark):
+    texts = [b"", b"a", b"foobar", "é€".encode() * 9, b"\x00", b"a" * 300]
+    assert index.fnv1a_of(texts).tolist() == [index.fnv1a(t) for t in texts] and index.fnv1a_of([]).tolist() == []
+    frame = spark.createDataFrame([("q", "k"), (None, "k"), ("q", None), ("", "")], "q string, k string")
+    signed = lambda t: int.from_bytes(index.fnv1a(t).to_bytes(8, "little"), "little", signed=True)
+    assert [r.h for r in frame.select(index.hashed(F.col("q"), F.col("k")).alias("h")).collect()] == [signed(b"q\x00k"), None, None, signed(b"\x00")]
+
+
+def test_page_faults(spark):
+    from tidemill.functions import markers
+
+    kinds = spark.createDataFrame([("block",), ("results",), ("unknown",), (None,)], "kind string")
+    got = kinds.select(markers.faulty(F.col("kind")).alias("f"), markers.terminal(F.col("kind")).alias("t"), markers.page_fault(F.col("kind"), F.lit("m"), F.lit("some  text"), "open").alias("e")).collect()
+    assert [(r.f, r.t) for r in got] == [(True, False), (False, True), (False, False), (False, False)]
+    assert tuple(got[0].e) == ("block", "m", "open", "some text") and [r.e for r in got[1:]] == [None] * 3

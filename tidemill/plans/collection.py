@@ -630,3 +630,30 @@ def q89_weighted_draws(spark, d):
 def q90_row_hash(spark, d):
     keyed = sinks.with_key(_rows(spark, d))
     return keyed.select("c_custkey", index.hashed(F.col("query_key"), F.col("row_key")).alias("row_hash"))
+
+
+@query("""
+    WITH p AS (SELECT c_custkey // 100 AS page, count(*) AS n FROM customer GROUP BY 1),
+         o AS (SELECT 'q' || (page % 40) AS query, CASE WHEN page % 11 = 3 THEN 'app_error' WHEN page % 7 = 2 THEN 'no results' WHEN page % 13 = 5 THEN 'blocked' WHEN page % 17 = 6 THEN 'not_json' ELSE 'results' END AS outcome, n FROM p)
+    SELECT query, outcome, count(*) AS n_pages, CAST(sum(CASE WHEN outcome = 'results' THEN n ELSE 0 END) AS BIGINT) AS n_docs FROM o GROUP BY 1, 2""")
+def q91_resumable_pages(spark, d):
+    """Captured answers as a stream that is stopped, finds more when it goes on, and reads no page twice; each is graded on the way."""
+    at, page = _path(spark, "answers"), F.col("page")
+    doc = F.struct(F.concat(F.lit("ROM."), "c_custkey").alias("ID"), F.array("c_name").alias("BRAND"))
+    made = table(spark, d, "customer").groupBy((F.col("c_custkey") / 100).cast("long").alias("page")).agg(F.collect_list(doc).alias("docs"))
+    answer = lambda n, docs: F.to_json(F.struct(F.struct(n.alias("numFound"), (page / 40).cast("long").alias("start"), docs.alias("docs")).alias("response")))
+    body = (
+        F.when(page % 11 == 3, '{"error": "An error occurred processing your request"}')
+        .when(page % 7 == 2, answer(F.lit(0), F.slice("docs", 1, 0)))
+        .when(page % 13 == 5, "<h1>403 Forbidden</h1>")
+        .when(page % 17 == 6, '{"torn": [1, 2')
+        .otherwise(answer(F.size("docs") * 3, F.col("docs")))
+    )
+    answers = staged(made.select("page", F.concat(F.lit("q"), page % 40).alias("query"), body.alias("value")), "answers")
+    for part in range(3):
+        # The last time there is nothing new.
+        answers.filter(page % 2 == part).drop("page").write.mode("append").partitionBy("query").text(f"{at}/in")
+        told = P.outcomes(P.captured_lines(spark, f"{at}/in", stream=True)).select("query", "outcome", "n_docs")
+        told.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
+    rows = spark.read.schema(told.schema).parquet(f"{at}/rows")
+    return rows.groupBy("query", "outcome").agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n_docs"), F.lit(0)).cast("long").alias("n_docs"))

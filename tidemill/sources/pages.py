@@ -27,6 +27,27 @@ def captured(spark: SparkSession, path: str) -> DataFrame:
     return read.select(F.url_decode(F.regexp_extract(name, r"^(.*)_p(\d+)\.raw$", 1)).alias("query"), F.regexp_extract(name, r"_p(\d+)\.raw$", 1).cast("int").alias("page"), F.col("value").alias("body"))
 
 
+def captured_lines(spark: SparkSession, path: str, stream: bool = False, files: int = 16) -> DataFrame:
+    """(query, body) of answers captured as lines of JSON, in folders query=<name> with any number of files; filters on query reach the listing.
+
+    As a stream it takes `files` files at a time, remembers in its checkpoint those that it has read, and reads none of them again when it is restarted; what is
+    put there later it reads then. Listing and reading are Spark's, so the folder may be on any file system.
+    """
+    read = spark.readStream.option("maxFilesPerTrigger", files) if stream else spark.read
+    return read.text(path).select(F.col("query").cast("string").alias("query"), F.col("value").alias("body"))
+
+
+def outcomes(pages: DataFrame, body: str = "body", status: str | None = None) -> DataFrame:
+    """pages, batch or stream, with `outcome`, num_found and n_docs: results, or no results where the site found none; blocked and http_error by
+    the status (a column; 200 if not given) or the text; app_error and not_json. Only results have documents."""
+    graded_ = markers.graded(F.col(status) if status else F.lit(200), F.coalesce(F.col(body), F.lit("")))
+    read = decode(pages.withColumn("_grade", graded_), body)
+    # A body that starts like JSON may still be none, or hold an error.
+    own = F.when(F.col("_grade") != "ok", F.col("_grade")).when(F.col("verdict") != "ok", F.col("verdict")).when(F.col("page_data.num_found") == 0, "no results").otherwise("results")
+    some = lambda c: F.when(F.col("outcome") == "results", c)
+    return read.withColumn("outcome", own).withColumns({"num_found": some(F.col("page_data.num_found")), "n_docs": some(F.coalesce(F.size("page_data.docs"), F.lit(0)))}).drop("_grade", "verdict", "page_data")
+
+
 def flex(v: Column) -> Column:
     """A variant as text: null is empty, what is no text is its JSON."""
     return F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))
