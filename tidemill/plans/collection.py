@@ -657,3 +657,17 @@ def q91_resumable_pages(spark, d):
         told.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
     rows = spark.read.schema(told.schema).parquet(f"{at}/rows")
     return rows.groupBy("query", "outcome").agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n_docs"), F.lit(0)).cast("long").alias("n_docs"))
+
+
+@query("""
+    SELECT CASE WHEN c_custkey % 4 = 3 THEN 4611686018427387904 ELSE c_custkey % 4 + 1 END AS part, count(*) AS n_rows, min(c_custkey) AS first FROM customer GROUP BY 1
+    UNION ALL SELECT 0, 4, max(c_custkey % 4) + 1 FROM customer""")
+def q92_rotated_exports(spark, d):
+    """An export is rotated once it has reached the cap, which the last of four never does; a new run finds the next part's number and the active one's size."""
+    rows, path = _rows(spark, d), f"{_path(spark, 'export')}.tsv"
+    for k in range(4):
+        sinks.export_rows(rows.filter(F.col("c_custkey") % 4 == k).drop("c_custkey"), F.lit("2024-01-02 03:04:05").cast("timestamp"), path)
+        sinks.rotate(spark, path, 1 if k < 3 else 1 << 60)
+    part, size = lists.output_state(spark, path)
+    found = lists.output_rows(spark, path).groupBy("part").agg(F.count("*").alias("n_rows"), F.min("number").cast("long").alias("first"))
+    return found.union(spark.range(1).select(F.lit(0).cast("long"), F.lit(part).cast("long"), F.lit(4 if size else 0).cast("long")))

@@ -184,7 +184,7 @@ class Ledger:
         now = Snapshot.from_json(storage.read_bytes(self.spark, self._log(max(sums), "sum"))) if sums else Snapshot()
         for v in sorted(v for v in commits if v > now.version):
             now = now.after(v, self._commit(v))
-        if version is not None and now.version != version:
+        if version is not None and (now.version != version or version not in (0, *(v for v, _ in found))):
             raise ValueError(f"there is no version {version}")
         return now
 
@@ -375,7 +375,7 @@ class Ledger:
 
     def vacuum(self, older_ms: int = 24 * 3_600_000, now_ms: int | None = None) -> int:
         """Deletes folders of data that the last version does not name and that nobody has changed for older_ms, which must be longer than any
-        write or read takes: what dead writers and earlier versions have left. Returns how many."""
+        write or read takes: what dead writers and earlier versions have left. Commits that the last sum of the log holds go too. Returns how many folders."""
         named = {f.path.split("/")[0] for t in self.snapshot().tables.values() for f in t.files.values()}
         limit, gone = (int(time.time() * 1000) if now_ms is None else now_ms) - older_ms, 0
         for folder in storage.names(self.spark, f"{self.path}/data"):
@@ -383,4 +383,9 @@ class Ledger:
             if folder not in named and storage.modified_ms(self.spark, at) <= limit:
                 storage.delete(self.spark, at)
                 gone += 1
+        log = [n for n in storage.names(self.spark, f"{self.path}/log") if n[:20].isdigit()]
+        summed = max((n[:20] for n in log if n.endswith(".sum")), default="")
+        for name in log:
+            if name[:20] < summed and storage.modified_ms(self.spark, f"{self.path}/log/{name}") <= limit:
+                storage.delete(self.spark, f"{self.path}/log/{name}")
         return gone

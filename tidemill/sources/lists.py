@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import query_key, store_key
 from ..schemas import COLUMNS, ROW
+from . import storage
 
 _EDGES = r"^[\s\x{0085}\p{Z}]+|[\s\x{0085}\p{Z}]+$"
 
@@ -110,6 +111,13 @@ def output_rows(spark: SparkSession, path: str, finished: DataFrame | None = Non
     return found
 
 
+def output_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(number of the next rotated part, bytes of the active one) of an output, from its folder's listing."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    parts = [int(n[len(name) + 1 :]) for n in storage.names(spark, folder) if n.startswith(f"{name}.") and n[len(name) + 1 :].isdigit()]
+    return max(parts, default=0) + 1, storage.total_bytes(spark, path)
+
+
 def counts(spark: SparkSession, path: str) -> DataFrame:
     """(day, query, n_results, pos) of count files: lines of three fields or more, read line by line. pos grows along each file."""
     f = F.split("value", "\t")

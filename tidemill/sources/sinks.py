@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import archive_name, day, query_key, row_key, stamped
+from . import storage
 from .index import hashed
 from .ledger import Append, Done, Drop, Ledger, Put, Replace
-from .lists import values_from_row
+from .lists import output_state, values_from_row
 
 
 def with_key(rows: DataFrame) -> DataFrame:
@@ -77,6 +78,12 @@ def export_rows(rows: DataFrame, at: Column, path: str, per_file: int = 1_000_00
     row_lines(rows, at).write.mode("append").option("maxRecordsPerFile", per_file).text(path)
 
 
+def rotate(spark: SparkSession, path: str, cap: int) -> int | None:
+    """After an append: an active output of cap bytes or more becomes the next part, whose number is given back. No cap, or a smaller one: null."""
+    part, size = output_state(spark, path)
+    return part if 0 < cap <= size and storage.move(spark, path, f"{path}.{part}") else None
+
+
 def archive(pages: DataFrame, path: str, bucket_pages: int = 10_000) -> Done:
     """Pages (query, page, body) by query and page; those written before are replaced, others stay. Files hold up to about bucket_pages pages
     each, and only those that hold a page of the batch are written anew."""

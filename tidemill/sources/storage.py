@@ -94,5 +94,11 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Of a file, or of all files below a folder; 0 where there is nothing."""
+    files, at = file_system(spark, path), hadoop_path(spark, path)
+    return files.getContentSummary(at).getLength() if files.exists(at) else 0
+
+
 def modified_ms(spark: SparkSession, path: str) -> int:
     return file_system(spark, path).getFileStatus(hadoop_path(spark, path)).getModificationTime()
