@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import dedupe, rules, tasks, telemetry, verdict
@@ -112,3 +113,28 @@ def test_freezes_cooldowns_and_picks(spark):
     probes = spark.createDataFrame([(0, "x", 200, None, 10, False), (1, "y", 429, None, 0, False), (2, "z", 500, None, 5, False), (3, "v", 200, "refused", 5, False), (4, "u", 200, None, 5, True)], "pos int, endpoint string, status int, error string, latency_ms long, port_only boolean")
     assert [r.endpoint for r in telemetry.probe_alive(probes).orderBy("pos").collect()] == ["x", "y", "u"]
     assert [tuple(r) for r in telemetry.seeded(probes.select("endpoint"), probes).collect()] == [("x", 10)]
+
+
+def test_a_rule_counts_before_an_error_but_not_before_results(spark):
+    from tidemill.operators import rules, verdict
+
+    rows = [("results", None, "m1"), ("results", "EOF", "m1"), ("no results", None, "m2"), ("no results", None, "x"), (None, "Timeout 3 exceeded", "m3"), (None, "Timeout 3 exceeded", "x"), ("block", "HTTP 500", "x"), (None, None, "x")]
+    own = [(0, "skip", "m1"), (1, "pauseAll", "m2"), (2, "sleep9", "m3")]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, kind string, error string, body string")
+    got = frame.orderBy("i").select(verdict.attempt_result(F.col("kind"), F.col("error"), rules.matched(F.col("body"), own)).alias("r")).collect()
+    assert [r.r for r in got] == ["results", "skip", "pause", "no results", "sleep", "timeout", "error", "error"]
+    assert verdict.attempt_result(F.lit("block"), F.lit(None).cast("string"), rules.matched(F.lit("x"), [])) is not None
+
+
+def test_weighted_assignment(spark):
+    pool = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("none", 0.0), ("less", -1.0)], "endpoint string, w double")
+    events = spark.range(4000).withColumn("part", F.lit(1))
+    got = telemetry.assigned(events, pool, F.col("w"), "id", seed=1)
+    counts = {r.endpoint: r["count"] for r in got.groupBy("endpoint").count().collect()}
+    assert counts.keys() == {"a", "b"} and abs(counts["b"] - 3000) < 5 * (4000 * 3 / 16) ** 0.5 and got.columns == ["id", "part", "endpoint"]
+    # Another order of the pool and other partitions draw the same; another seed does not.
+    again = telemetry.assigned(events.repartition(7), pool.orderBy(F.desc("endpoint")), F.col("w"), "id", seed=1)
+    assert again.exceptAll(got).isEmpty() and not telemetry.assigned(events, pool, F.col("w"), "id", seed=2).exceptAll(got).isEmpty()
+    assert {r.endpoint for r in telemetry.assigned(events.limit(3), pool.limit(0), F.col("w"), "id").collect()} == {None}
+    with pytest.raises(ValueError):
+        telemetry.assigned(events, pool, F.col("w"), "id", most=1)

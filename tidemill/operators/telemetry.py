@@ -181,6 +181,11 @@ def probe_alive(probes: DataFrame) -> DataFrame:
     return probes.filter(F.col("error").isNull() & F.col("status").isin(200, 429))
 
 
+def alive_in_order(probes: DataFrame) -> DataFrame:
+    """The probes that answered, delivered in the order of the list that they were made from: ranges of pos to tasks, sorted within each."""
+    return probe_alive(probes).repartitionByRange("pos").sortWithinPartitions("pos")
+
+
 def seeded(endpoints: DataFrame, probes: DataFrame) -> DataFrame:
     """endpoints with the latency of their probe, where it measured one."""
     measured = probe_alive(probes).filter("NOT port_only AND latency_ms > 0").select("endpoint", "latency_ms")

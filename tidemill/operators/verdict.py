@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.markers import hiccup, timed_out
+from ..functions.text import action_seconds
+
 
 def page_violation(page: Column, start: Column, n_rows: Column, last: Column, size: int, strict: bool = True) -> Column:
     """What is wrong with a page, or null: wrong_start, empty, or (strict) short before the last page."""
@@ -72,6 +75,15 @@ TRANSITIONS = (
 )
 
 
+def attempt_result(kind: Column, error: Column, rule: Column) -> Column:
+    """An attempt's result, for transition(). With results it is that. Else what the first rule (a struct with action, or null) that its page holds
+    says, whatever error it ended with; else the class of its error; else its page's kind."""
+    action = rule["action"]
+    of_rule = F.when(action == "skip", "skip").when(action == "pauseAll", "pause").when(action_seconds(action).isNotNull(), "sleep")
+    of_error = F.when(timed_out(error), "timeout").when(hiccup(error), "hiccup").otherwise("error")
+    return F.when(error.isNull() & (kind == "results"), kind).otherwise(F.coalesce(of_rule, F.when(error.isNotNull(), of_error), kind, F.lit("error")))
+
+
 def transition(result: Column, attempts: Column, max_attempts: int) -> Column:
     """struct(effect, streak, resets_gate, state) of an attempt's result; a task that has spent its attempts without an end fails.
 

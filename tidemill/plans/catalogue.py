@@ -385,7 +385,8 @@ def q33_endpoint_summary(spark, d):
 @query(_SUMMARY + """
     SELECT endpoint, round((CASE WHEN lat > 6000 THEN 0.5 ELSE 1.0 END)::DOUBLE / (1 + fails), 6) AS weight, round(120000 * CASE WHEN lat > 0 THEN least(greatest(lat / 3000, 1.0::DOUBLE), 4.0::DOUBLE) ELSE 1.0 END, 3) AS timeout_ms FROM s LEFT JOIN l USING (endpoint) WHERE fails < 5""")
 def q34_pick_weight(spark, d):
-    o = telemetry.Options()
+    # Limits that make no sense fall back to the defaults.
+    o = telemetry.Options(fail_budget=0, cooldown_ms=-1, latency_ref_ms=0, scale_min=-1, scale_max=4).normalised()
     left = telemetry.usable(telemetry.summary(_log(spark, d), o).withColumn("until", F.lit(None).cast("timestamp")), F.lit("2024-02-01").cast("timestamp"), o)
     weight = telemetry.pick_weight(F.col("latency_ms"), F.col("fails"), o.latency_ref_ms)
     return left.select("endpoint", F.round(weight, 6).alias("weight"), F.round(telemetry.scaled_timeout(F.lit(120_000.0), F.col("latency_ms"), o), 3).alias("timeout_ms"))

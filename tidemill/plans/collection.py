@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
@@ -552,7 +554,11 @@ def q85_silence_by_stage(spark, d):
     from ..sources import config
     from ..streaming import timers, walks
 
-    at, settings = _path(spark, "silence"), config.loaded(None, ["--watchdog-ms", str(6 * 3_600_000)])
+    at = _path(spark, "silence")
+    # Settings are the driver's own file: written, read again, and overlaid by a flag.
+    with tempfile.TemporaryDirectory() as folder:
+        Path(folder, "settings.toml").write_text(config.Config(watchdog_ms=1, max_attempts=2).toml())
+        settings = config.loaded(f"{folder}/settings.toml", ["--watchdog-ms", str(6 * 3_600_000)])
     settings.validate()
     budget = settings.watchdog()
     beats = table(spark, d, "events").select(F.col("user_id").cast("string").alias("query"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").alias("seq"), F.col("event_type").alias("stage"))
@@ -671,3 +677,35 @@ def q92_rotated_exports(spark, d):
     part, size = lists.output_state(spark, path)
     found = lists.output_rows(spark, path).groupBy("part").agg(F.count("*").alias("n_rows"), F.min("number").cast("long").alias("first"))
     return found.union(spark.range(1).select(F.lit(0).cast("long"), F.lit(part).cast("long"), F.lit(4 if size else 0).cast("long")))
+
+
+@query("""
+    SELECT c_name AS endpoint, row_number() OVER (ORDER BY c_custkey) AS place FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 7 <> 0""")
+def q93_probes_in_order(spark, d):
+    """Endpoints from a list over several files and splits, with repeats; those whose probe answered come in the list's order."""
+    c, i = table(spark, d, "customer"), F.col("c_custkey")
+    path = _written(c.select(i, F.array(F.col("c_name"), F.lit("# note"), F.concat(F.lit(" "), "c_name", F.lit("\r"))).alias("lines")), ["c_custkey"], _path(spark, "endpoints"))
+    with _splits(spark, "16k"):
+        listed = staged(dedupe.distinct_first(lists.lines(spark, path), F.col("line"), "pos"), "listed")
+    answers = c.select(F.col("c_name").alias("value"), F.when(i % 2 == 0, 200).otherwise(429).alias("status"), F.when(i % 3 == 0, "refused").alias("error")).filter(i % 7 != 0)
+    probes = listed.join(answers, "value").select("pos", F.col("value").alias("endpoint"), "status", "error")
+    came = telemetry.alive_in_order(probes).withColumn("at", F.monotonically_increasing_id())
+    return came.select("endpoint", F.row_number().over(Window.orderBy("at")).alias("place"))
+
+
+@query("""
+    WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 1 THEN 'skip' WHEN 2 THEN 'sleep' WHEN 3 THEN NULL ELSE 'pause' END AS ruled, CASE event_id % 5 WHEN 0 THEN 'timeout' WHEN 1 THEN 'hiccup' WHEN 2 THEN 'error' END AS failed, event_id % 3 = 0 AS marked FROM events),
+         r AS (SELECT event_id, coalesce(CASE WHEN marked THEN ruled END, failed, 'no results') AS result FROM a)
+    SELECT event_id, result, CASE WHEN result IN ('skip', 'sleep', 'pause') THEN 'cooldown' WHEN result IN ('timeout', 'hiccup') THEN 'soft_fail' WHEN result = 'error' THEN 'fail' ELSE 'success' END AS effect,
+           CASE WHEN result IN ('sleep', 'pause') THEN 'retry' WHEN result = 'no results' THEN 'done' ELSE 'requeue' END AS state FROM r""")
+def q94_rules_over_errors(spark, d):
+    """What a user's rule says of an attempt's page counts before the error that the attempt ended with."""
+    from ..operators import rules
+
+    i = F.col("event_id")
+    own = [(0, "pauseAll", "<mark 0>"), (1, "skip", "<mark 1>"), (2, "sleep7", "<mark 2>"), (3, "skip", "<mark 1>")]
+    body = F.when(i % 3 == 0, F.concat(F.lit("page <mark "), i % 4, F.lit("> end"))).otherwise("page")
+    error = F.when(i % 5 == 0, "Timeout 3000ms exceeded").when(i % 5 == 1, "unexpected EOF").when(i % 5 == 2, "HTTP 500")
+    result = verdict.attempt_result(F.lit("no results"), error, rules.matched(body, own))
+    told = table(spark, d, "events").select("event_id", result.alias("result")).withColumn("t", verdict.transition(F.col("result"), F.lit(0), 5))
+    return told.select("event_id", "result", "t.effect", "t.state")
