@@ -99,6 +99,11 @@ def archive_name(query: Column, page: Column) -> Column:
     return F.format_string("%s_p%d.raw", sanitise(query), page)
 
 
+def full_name(query: Column) -> Column:
+    """The name of a query's whole first page of results."""
+    return F.concat(sanitise(query), F.lit("_full.html"))
+
+
 def snippet(c: Column, n: int) -> Column:
     text = normalise(c)
     return F.when(F.octet_length(text) <= n, text).when(F.lit(n <= 3), F.left(text, F.lit(n))).otherwise(F.concat(F.left(text, F.lit(max(0, n - 3))), F.lit("...")))

@@ -709,3 +709,14 @@ def q94_rules_over_errors(spark, d):
     result = verdict.attempt_result(F.lit("no results"), error, rules.matched(body, own))
     told = table(spark, d, "events").select("event_id", result.alias("result")).withColumn("t", verdict.transition(F.col("result"), F.lit(0), 5))
     return told.select("event_id", "result", "t.effect", "t.state")
+
+
+@query("""
+    SELECT lower(c_name) AS query_name, lower(replace(c_name, '#', '-')) || '_full.html' AS file, CASE WHEN c_custkey % 3 = 0 THEN 'new ' ELSE 'old ' END || c_custkey AS body FROM customer""")
+def q95_full_pages(spark, d):
+    """Whole pages are kept by query; those that are captured again replace their own, in the files that hold them."""
+    c, path = table(spark, d, "customer"), _path(spark, "full")
+    page = lambda word: c.select(F.col("c_name").alias("query"), F.concat(F.lit(word), "c_custkey").alias("body"), "c_custkey")
+    sinks.archive_full(page("old ").drop("c_custkey"), path, 400)
+    sinks.archive_full(page("new ").filter("c_custkey % 3 = 0").drop("c_custkey"), path, 400)
+    return sinks.written(spark, path, "full").select("query_name", "file", "body")

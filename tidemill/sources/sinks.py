@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import archive_name, day, query_key, row_key, stamped
+from ..functions.text import archive_name, day, full_name, query_key, row_key, stamped
 from . import storage
 from .index import hashed
 from .ledger import Append, Done, Drop, Ledger, Put, Replace
@@ -91,6 +91,12 @@ def archive(pages: DataFrame, path: str, bucket_pages: int = 10_000) -> Done:
     return Ledger(pages.sparkSession, path, bucket_rows=bucket_pages).commit([Put("pages", named, ["query_name", "page"], ["body"])])
 
 
+def archive_full(pages: DataFrame, path: str, bucket_pages: int = 10_000) -> Done:
+    """Whole first pages (query, body), one a query: one that is captured again replaces its own."""
+    named = pages.withColumns({"query_name": query_key(F.col("query")), "file": full_name(F.col("query"))})
+    return Ledger(pages.sparkSession, path, bucket_rows=bucket_pages).commit([Put("full", named, ["query_name"], ["body"])])
+
+
 def replace(state: DataFrame, path: str, keys: list[str], seen: int | None = None) -> Done:
     """A state table (checkpoints, a compacted index) as a new generation. Readers see the old one or the new one, whole, at every moment; what a
     crash leaves half written is never seen. With seen (a version), it fails if the state has changed since, so that no change is lost."""
