@@ -15,7 +15,9 @@ from ..functions.status import message, status_label
 from ..functions.text import cell, clip, date_only, normalise, unique_join, utf16_length
 from ..schemas import COLUMNS, ROW, WIRE
 
+# Fixed values of the captured pages: what cells' descriptions start with, and the class of the position line's element.
 ARIA = "gridForsearch_pane_"
+PAGER_CLASS = "pagerPos"
 #: Longer plain holders and class lists are shown with an ellipsis.
 SHOWN = 64
 
@@ -294,7 +296,7 @@ def snapshot(markup: str | None, pager_class: str) -> tuple[str, str, int, str]:
     return "".join(parser.titles).strip(), "".join(parser.shown), len(parser.rows), " ".join((parser.line or "").split())
 
 
-def snapshot_of(pages: DataFrame, body: str = "body", pager_class: str = "pagerPos") -> DataFrame:
+def snapshot_of(pages: DataFrame, body: str = "body", pager_class: str = PAGER_CLASS) -> DataFrame:
     """What the classifier looks at, of captured HTML pages: title, text, grid_rows and pager, the text of the shown element of class pager_class.
 
     What only a script or an element that is not shown holds is none of these. A null page has no text, no rows and no position line.
