@@ -7,6 +7,7 @@ arrays here are for values that are at hand in one row. The others are windows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,22 +137,20 @@ def drawn(endpoints: DataFrame, weight: Column, seed: int) -> DataFrame:
     return endpoints.withColumn("_d", F.pow(F.rand(seed), 1 / weight)).agg(F.max_by("endpoint", "_d").alias("endpoint"))
 
 
-def assigned(events: DataFrame, endpoints: DataFrame, weight: Column, key: str, seed: int = 0, most: int = 100_000) -> DataFrame:
+def assigned(events: DataFrame, endpoints: DataFrame, weight: Column, key: str, seed: int = 0, most: int = 1000) -> DataFrame:
     """events with `endpoint`: each draws one by weight, from a hash of its key and seed, so that a task that runs again draws the same.
 
-    The pool of endpoints is one row, sent to all tasks, and may hold `most` of them. Weights of 0 or less are never drawn; without any others there is no endpoint.
+    The pool is a list that users keep, of at most `most` endpoints, and part of the plan. Weights of 0 or less are never drawn; without any others there is no endpoint.
     """
-    own = endpoints.withColumn("_w", weight.cast("double")).filter("_w > 0").select("endpoint", "_w")
-    if own.count() > most:
+    pool = sorted((r.endpoint, r.w) for r in endpoints.select("endpoint", weight.cast("double").alias("w")).filter("w > 0").limit(most + 1).collect())
+    if len(pool) > most:
         raise ValueError(f"a pool of more than {most} endpoints")
-    # Sums grow along the pool, in an order that does not depend on how it came.
-    pool = F.array_sort(F.collect_list(F.struct("endpoint", "_w")))
-    sums = F.aggregate("_pool", F.array().cast("array<double>"), lambda a, e: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)) + e["_w"])))
-    one = own.agg(pool.alias("_pool")).withColumn("_sums", sums)
-    part = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 11) / F.lit(float(1 << 53))
-    first = F.size(F.filter("_sums", lambda x: x <= F.col("_u") * F.element_at("_sums", -1)))
-    drawn_ = events.withColumn("_u", part).join(F.broadcast(one))
-    return drawn_.withColumn("endpoint", F.get(F.col("_pool.endpoint"), F.least(first, F.size("_pool") - 1))).drop("_u", "_pool", "_sums")
+    if not pool:
+        return events.withColumn("endpoint", F.lit(None).cast("string"))
+    sums = list(accumulate(w for _, w in pool))
+    drawn_ = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 11) / F.lit(float(1 << 53)) * F.lit(sums[-1])
+    first = F.size(F.filter(F.lit(sums), lambda x: x <= drawn_))
+    return events.withColumn("endpoint", F.get(F.lit([e for e, _ in pool]), F.least(first, F.lit(len(pool) - 1))))
 
 
 def usable(endpoints: DataFrame, now: Column, o: Options) -> DataFrame:

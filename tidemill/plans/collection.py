@@ -425,7 +425,7 @@ def q72_page_bounds(spark, d):
 def q73_soonest(spark, d):
     own = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("endpoint"), (F.col("c_custkey") * 37 % 1009).alias("until"))
     first = telemetry.soonest(own, F.lit(500)).select(F.col("endpoint").alias("soonest"))
-    return first.crossJoin(F.broadcast(telemetry.soonest(own.filter("until <= 100"), F.lit(500)).select(F.col("endpoint").alias("unbound"))))
+    return first.select("soonest", telemetry.soonest(own.filter("until <= 100"), F.lit(500)).select("endpoint").scalar().alias("unbound"))
 
 
 @query("""
