@@ -108,3 +108,13 @@ def test_runs_cover_each_window_once(sizes, length, data):
     for t, a, k, h in zip(text, at, n, m, strict=True):
         for i in range(int(k)):
             assert seen.setdefault(tuple(items[a + i : a + i + length]), h) == h
+
+
+def test_smaller_chunks_tell_the_same(spark):
+    rng = np.random.default_rng(12)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+    shared = words(60)
+    rows = [(i, f"{words(40)} {shared if i % 3 == 0 else ''} {words(30)}") for i in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [sorted((r.doc_id, r.text) for r in substrings.without_repeated_passages(frame, chunk_bytes=size).collect()) for size in (2000, 6 << 20)]
+    assert got[0] == got[1] and sum(shared in t for _, t in got[0]) == 1

@@ -173,8 +173,11 @@ class _Estimates:
         return self.known[place] == joint
 
 
-def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of docs: doc_id, n_items, spans (removed runs: start, length), the text that is left, and the columns in carry."""
+def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), chunk_bytes: int = CHUNK) -> DataFrame:
+    """One row per row of docs: doc_id, n_items, spans (removed runs: start, length), the text that is left, and the columns in carry.
+
+    A task holds about chunk_bytes of texts at once, or one longer text; fewer need less memory and more rows of the exchange, and give the same result.
+    """
     inner = docs.select(F.col(id_col).cast("long").alias("doc_id"), id_key(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
     size = inner.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices, buckets = max(8, -(-size // SLICE)), max(16, -(-size // BUCKET))
@@ -191,7 +194,7 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
             for piece, n in _slices(batch):
                 held.append(piece)
                 total += n
-                if total >= CHUNK:
+                if total >= chunk_bytes:
                     yield from chunk_rows(pa.Table.from_batches(held), number)
                     number, held, total = number + 1, [], 0
         if held:
@@ -202,7 +205,7 @@ def without_repeats(docs: DataFrame, unit: Unit, kept: T.StructField, id_col: st
         offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         at = 0
         while at < len(texts):
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK // 2, "right")) - 1)
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + chunk_bytes // 2, "right")) - 1)
             yield batch.slice(at, stop - at), int(offsets[stop] - offsets[at]) + 64 * (stop - at)
             at = stop
 

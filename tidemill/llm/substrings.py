@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .spans import Chunk, Unit, without_repeats
+from .spans import CHUNK, Chunk, Unit, without_repeats
 from .windows import rolling
 
 _PLACES = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
@@ -68,13 +68,13 @@ class Words(Unit):
         return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode("utf-8", "replace"), len(words)
 
 
-def without_repeated_passages(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), layout: bool = False) -> DataFrame:
+def without_repeated_passages(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), layout: bool = False, chunk_bytes: int = CHUNK) -> DataFrame:
     """One row per document: doc_id, n_items (words), spans (runs of removed words), text (kept words, joined by one space), carried columns.
 
-    With layout, the text keeps its own blanks and line ends instead.
+    With layout, the text keeps its own blanks and line ends instead. chunk_bytes is what a task holds of texts at once.
 
     A word goes if a window of `length` words that covers it also starts in a document with a smaller id; windows are judged on the
     input. Null and empty texts have no words; texts shorter than a window stay; a null id counts as the largest; rows that share an id are
     one document and do not remove from each other; columns outside carry are not read; an empty table gives no rows.
     """
-    return without_repeats(docs, Words(length, layout=layout), T.StructField("text", T.StringType()), id_col, text_col, carry)
+    return without_repeats(docs, Words(length, layout=layout), T.StructField("text", T.StringType()), id_col, text_col, carry, chunk_bytes)
