@@ -16,3 +16,11 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0 and DATA
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(catalogue.QUERIES) <= set(entry.queries())
+
+
+def test_sums_are_exact(spark, tmp_path):
+    # As doubles, 1e16 takes the 1 with it, and 200 are left, two pages; in truth it is 201, three.
+    rows = [(1, 7, 1e16), (2, 7, 1.0), (3, 7, -1e16), (4, 7, 200.0), (5, 7, None), (6, 8, None)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    got = catalogue.QUERIES["q18_shard_blocks"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(7, 0, 1, 1), (7, 1, 2, 2), (7, 2, 3, 3)]
