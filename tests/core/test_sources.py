@@ -216,3 +216,9 @@ def test_page_faults(spark):
     got = kinds.select(markers.faulty(F.col("kind")).alias("f"), markers.terminal(F.col("kind")).alias("t"), markers.page_fault(F.col("kind"), F.lit("m"), F.lit("some  text"), "open").alias("e")).collect()
     assert [(r.f, r.t) for r in got] == [(True, False), (False, True), (False, False), (False, False)]
     assert tuple(got[0].e) == ("block", "m", "open", "some text") and [r.e for r in got[1:]] == [None] * 3
+
+
+def test_entities_without_semicolon(spark):
+    markup = '<title>cut &amp</title>A &amp; B &copy 2 &lt;<script>a && "&lt" < b</script>&'
+    seen = spark.createDataFrame([(markup,), (None,)], "t string").select(pages.text_content(F.col("t"), bare=False).alias("a"), pages.text_content(F.col("t")).alias("b")).collect()
+    assert tuple(seen[0]) == ('cut &ampA & B &copy 2 <a && "&lt" < b&', 'cut &A & B © 2 <a && "&lt" < b&') and tuple(seen[1]) == (None, None)

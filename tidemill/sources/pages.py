@@ -204,8 +204,18 @@ def attempt_rows(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
     return of_json.unionByName(of_html)
 
 
-def text_content(c: Column) -> Column:
-    """HTML's text, entities decoded, tags (line breaks too) worth nothing."""
+#: An ampersand that begins no reference with a semicolon.
+_BARE = re.compile(r"&(?!(?:#\d+|#[xX][0-9a-fA-F]+|\w+);)")
+
+
+def _kept_bare(markup: str) -> tuple[str, str]:
+    """The markup with such ampersands as a character that it does not hold, and that character."""
+    mark = next(c for c in map(chr, range(0xE000, 0xF900)) if c not in markup)
+    return _BARE.sub(mark, markup), mark
+
+
+def text_content(c: Column, bare: bool = True) -> Column:
+    """HTML's text, entities decoded, tags (line breaks too) worth nothing. bare: also those few that HTML reads without their semicolon (&amp at the end of a title)."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -219,9 +229,12 @@ def text_content(c: Column) -> Column:
 
         def one(markup):
             parser = Text()
+            mark = "&"
+            if not bare:
+                markup, mark = _kept_bare(markup)
             parser.feed(markup)
             parser.close()
-            return "".join(parser.parts)
+            return "".join(parser.parts).replace(mark, "&")
 
         for texts in batches:
             yield texts.map(one, na_action="ignore")
