@@ -177,3 +177,10 @@ def test_rows_index_and_checkpoints_are_one_commit(spark, tmp_path):
     sinks.finish(spark, path, spark.createDataFrame([("acme",)], "query string"))
     assert [r["query"] for r in sinks.written(spark, path, "checkpoints").collect()] == ["other"] == [r["query"] for r in sinks.written(spark, path, "index").collect()]
     assert sinks.written(spark, path).count() == 3 and _path(spark, "x") != _path(spark, "x")
+
+
+def test_files_grow_before_they_are_very_many(spark, tmp_path):
+    files = lambda rows, per: 1 << Ledger(spark, str(tmp_path), bucket_rows=per)._depth(rows)
+    assert files(5_400_000, 400) == 256 and files(15_000, 400) == 64 and files(300, 400) == 1
+    # Never more than 64 times bucket_rows in one, nor more than are asked for where that is a million.
+    assert files(200_000_000, 400) == 8192 and files(1 << 30, 1 << 20) == 1024

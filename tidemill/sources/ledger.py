@@ -27,6 +27,8 @@ from . import storage
 
 #: Commits after which the log is summed up, and bits of the longest prefix.
 SUMMED, DEEPEST = 16, 20
+#: Files of fewer than FULL rows grow with the table, up to GROWN times bucket_rows, before there are more than 2^SPREAD of them: each costs every reader and writer.
+SPREAD, GROWN, FULL = 8, 64, 1_000_000
 HASH, BUCKET = "_hash", "_bucket"
 
 
@@ -204,7 +206,8 @@ class Ledger:
     # Writing
 
     def _depth(self, rows: int) -> int:
-        return min(DEEPEST, max(0, math.ceil(math.log2(max(1, rows) / self.bucket_rows))))
+        bits = lambda size: max(0, math.ceil(math.log2(max(1, rows) / size)))
+        return min(DEEPEST, max(min(bits(self.bucket_rows), SPREAD), bits(max(self.bucket_rows, min(GROWN * self.bucket_rows, FULL)))))
 
     def _write(self, rows: DataFrame, depth: int) -> list[File]:
         """rows (with HASH) as files of this depth: a task, and a file, for each prefix."""

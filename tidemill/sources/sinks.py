@@ -86,7 +86,7 @@ def rotate(spark: SparkSession, path: str, cap: int) -> int | None:
 
 def archive(pages: DataFrame, path: str, bucket_pages: int = 10_000) -> Done:
     """Pages (query, page, body) by query and page; those written before are replaced, others stay. Files hold up to about bucket_pages pages
-    each, and only those that hold a page of the batch are written anew."""
+    each, more once there are 256 of them, and only those that hold a page of the batch are written anew."""
     named = pages.withColumns({"query_name": query_key(F.col("query")), "file": archive_name(F.col("query"), F.col("page"))})
     return Ledger(pages.sparkSession, path, bucket_rows=bucket_pages).commit([Put("pages", named, ["query_name", "page"], ["body"])])
 
