@@ -420,8 +420,8 @@ def q38_stream_dedupe(spark, d):
     from ..streaming import walks
 
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:8]}"
-    files = walks.in_files(table(spark, d, "events"), F.col("event_id"), f"{at}/events", 3)
-    stream = walks.unique(walks.from_table(spark, files).select("user_id", "event_type"), ["user_id", "event_type"])
+    events = walks.in_batches(table(spark, d, "events").select("event_id", "user_id", "event_type"), F.col("event_id"), f"{at}/events", 3)
+    stream = walks.unique(events.select("user_id", "event_type"), ["user_id", "event_type"])
     stream.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/rows").awaitTermination()
     return spark.read.parquet(f"{at}/rows")
 
