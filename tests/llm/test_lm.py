@@ -114,3 +114,21 @@ def test_training_takes_every_token_and_ignores_partitions(spark, monkeypatch):
     voc = lm.Vocabulary({str(i).encode(): i for i in range(129)} | {lm.END: 129}, np.log(np.full(130 + lm.TAILS, 1 / (130 + lm.TAILS))))
     one, other = (lm.trained(frame.repartition(n), voc, 12_000).w for n in (2, 7))
     assert all(np.allclose(one[k], other[k], atol=1e-6) for k in one)
+
+
+def test_windows_compute_the_gates_of_each_input_once(monkeypatch):
+    m, rows, gates = small_model(), [], lm.Model.gates
+    monkeypatch.setattr(lm.Model, "gates", lambda self, x: rows.append(len(x)) or gates(self, x))
+    rng = np.random.default_rng(7)
+    m._window(rng.integers(0, m.start, (16, 100)), rng.integers(0, m.heads + lm.TAILS, (16, 100)), np.zeros((100, lm.STATE), np.float32), lm.fresh_sums(m))
+    assert rows == [m.start + 1]
+
+
+def test_gates_far_from_zero_are_shut_or_open():
+    m = small_model()
+    h = np.full((2, lm.STATE), 0.5, np.float32)
+    far = np.repeat(np.array([[-1e4], [1e4]], np.float32)[None], 3, 0).repeat(lm.STATE, 2)
+    with np.errstate(all="raise", under="ignore"):
+        new = m.advance(far, h)
+    # A shut update gate takes the candidate, an open one keeps the state.
+    assert np.allclose(new[0], -1) and np.allclose(new[1], 0.5)

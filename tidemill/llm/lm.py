@@ -12,7 +12,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,11 +57,16 @@ class Vocabulary:
         return -(-len(self.number) // CLASS)
 
 
+def cells(rows: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Places in rows.ravel() of one column a row: one index is followed faster than two."""
+    return np.arange(0, rows.size, rows.shape[1]) + picked
+
+
 def log_shares(logits: np.ndarray, picked: np.ndarray, tame: bool) -> np.ndarray:
     """log softmax at one column a row; logits is overwritten. tame: all logits are near zero, else the largest of each row is taken out."""
     if not tame:
         logits -= logits.max(axis=1, keepdims=True)
-    at = logits[np.arange(len(picked)), picked]
+    at = logits.ravel()[cells(logits, picked)]
     np.exp(logits, out=logits)
     return at - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
@@ -72,7 +77,7 @@ def shares(logits: np.ndarray, picked: np.ndarray, tame: bool) -> float:
         logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits *= (1 / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
-    return float(np.log(logits[np.arange(len(picked)), picked] + 1e-30).sum())
+    return float(np.log(logits.ravel()[cells(logits, picked)] + 1e-30).sum())
 
 
 def _three(weights: np.ndarray) -> np.ndarray:
@@ -122,11 +127,12 @@ class Model:
         u = np.matmul(h, _three(self.w["h"]))
         zr, n = gates[:2], gates[2]
         zr += u[:2]
-        # The logistic function by tanh, which cannot overflow.
-        zr *= 0.5
-        np.tanh(zr, out=zr)
-        zr *= 0.5
-        zr += 0.5
+        # The logistic function; where exp overflows to infinity it is 0, as it should be. exp costs half of what tanh does.
+        np.negative(zr, out=zr)
+        with np.errstate(over="ignore"):
+            np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         if inner is not None:
             inner[:] = u[2]
         u[2] *= zr[1]
@@ -146,13 +152,16 @@ class Model:
         group = np.where(targets < self.heads, targets // CLASS, targets - self.heads + self.classes)
         out = log_shares(logits, group, tame).astype(np.float64)
         order = np.argsort(group.astype(np.uint16), kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            own = order[cuts[c] : cuts[c + 1]]
-            if len(own):
-                inner = states[own] @ w["out"][c].T
+        cuts = np.searchsorted(group.take(order), np.arange(self.classes + 1)).tolist()
+        # Class after class lies together.
+        order = order[: cuts[-1]]
+        sorted_states, sorted_targets, inside = states.take(order, 0), targets.take(order), np.empty(len(order))
+        for c, (lo, hi) in enumerate(pairwise(cuts)):
+            if lo < hi:
+                inner = sorted_states[lo:hi] @ w["out"][c].T
                 inner += w["out_b"][c]
-                out[own] += log_shares(inner, targets[own] - c * CLASS, tame)
+                inside[lo:hi] = log_shares(inner, sorted_targets[lo:hi] - c * CLASS, tame)
+        out[order] += inside
         return out
 
     def score(self, texts: list[np.ndarray], most: int = TOGETHER) -> np.ndarray:
@@ -182,7 +191,7 @@ class Model:
             tokens = flat[np.minimum(place - 1, len(flat) - 1)]
             if not at:
                 tokens[0] = self.start
-            gates, states, h = gates_of[:, tokens], np.empty((steps, b, STATE), np.float32), h[:b]
+            gates, states, h = gates_of.take(tokens, 1), np.empty((steps, b, STATE), np.float32), h[:b]
             for t in range(steps):
                 states[t] = h = self.advance(gates[:, t], h)
             got = self.log_probabilities(states[alive], flat[place[alive]].astype(np.int64))
@@ -218,8 +227,9 @@ class Model:
         w, s = self.w, STATE
         steps, lanes = inputs.shape
         n, shown = inputs.size, inputs.ravel()
-        x = w["in"][shown]
-        gates = self.gates(x).reshape(3, steps, lanes, s)
+        x = w["in"].take(shown, 0)
+        # There are fewer different inputs than places.
+        gates = (self.gates(w["in"]).take(shown, 1) if n > len(w["in"]) else self.gates(x)).reshape(3, steps, lanes, s)
         keep = (inputs != self.start).astype(x.dtype)[:, :, None]
         before, state, un = (np.empty((steps, lanes, s), x.dtype) for _ in range(3))
         for t in range(steps):
@@ -233,23 +243,26 @@ class Model:
         group = np.where(flat < self.heads, flat // CLASS, flat - self.heads + self.classes)
         tame, ones = self.tame, np.ones(n, x.dtype)
         loss = shares(p, group, tame)
-        p[np.arange(n), group] -= 1
+        p.ravel()[cells(p, group)] -= 1
         grads = {"class": states.T @ p, "class_b": ones @ p}
         d = p @ w["class"].T
         grads["out"], grads["out_b"] = np.zeros_like(w["out"]), np.zeros_like(w["out_b"])
         order = np.argsort(group.astype(np.uint16), kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            own = order[cuts[c] : cuts[c + 1]]
-            if len(own):
-                at = states[own]
+        cuts = np.searchsorted(group.take(order), np.arange(self.classes + 1)).tolist()
+        # Class after class lies together.
+        order = order[: cuts[-1]]
+        sorted_states, sorted_targets, inside = states.take(order, 0), flat.take(order), np.empty((len(order), s), x.dtype)
+        for c, (lo, hi) in enumerate(pairwise(cuts)):
+            if lo < hi:
+                at = sorted_states[lo:hi]
                 q = at @ w["out"][c].T
                 q += w["out_b"][c]
-                picked = flat[own] - c * CLASS
+                picked = sorted_targets[lo:hi] - c * CLASS
                 loss += shares(q, picked, tame)
-                q[np.arange(len(own)), picked] -= 1
-                grads["out"][c], grads["out_b"][c] = q.T @ at, ones[: len(own)] @ q
-                d[own] += q @ w["out"][c]
+                q.ravel()[cells(q, picked)] -= 1
+                grads["out"][c], grads["out_b"][c] = q.T @ at, ones[: hi - lo] @ q
+                np.matmul(q, w["out"][c], out=inside[lo:hi])
+        d[order] += inside
         # Back through the window's steps; what does not depend on the later steps is computed for all of them at once.
         d = d.reshape(steps, lanes, s)
         by_n = 1 - candidate * candidate
@@ -281,7 +294,7 @@ class Model:
         ids = shown[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         # Sums of equal inputs, as differences of running sums.
-        dx = np.cumsum(dx[order], axis=0, dtype=np.float64)[np.append(first[1:], n) - 1]
+        dx = np.cumsum(dx.take(order, 0), axis=0, dtype=np.float64)[np.append(first[1:], n) - 1]
         dx[1:] -= dx[:-1].copy()
         touched, dx = ids[first], dx.astype(x.dtype)
         for name, g in grads.items():
