@@ -47,3 +47,17 @@ def test_small_tables(spark):
     assert run(spark, [], shards=4) == []
     assert len(run(spark, [(1, "a", "x")], shards=4)) == 1
     assert {r.shard for r in run(spark, [(i, "x" * 84, "s") for i in range(64)], target_bytes=1600)} <= set(range(4))
+
+
+def test_cuts_come_from_all_rows(spark):
+    rng = np.random.default_rng(6)
+    keys = np.stack([rng.integers(0, 1 << 61, 3000), np.repeat(rng.integers(0, 5, 300), 10) << 31], axis=1)
+    size = rng.integers(1, 200, 3000)
+    rows = spark.createDataFrame([(k, int(s)) for k, s in zip(keys.tolist(), size, strict=True)], "keys array<long>, size long").repartition(3)
+    # With few intervals there are many passes; the cut is the nearest to the middle either way, wherever the rows lie.
+    for bins in (4, 4096):
+        root = sharding.grown(rows, 2, bins)
+        order = np.argsort(keys[:, 0])
+        total, below = size.sum(), np.concatenate([[0], np.cumsum(size[order])])
+        left = size[keys[:, root.dim] < root.cut].sum()
+        assert root.dim == 0 and abs(left - total / 2) == np.abs(below - total / 2).min()

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import in_chunks, staged
 
 #: Fixed bytes that a row counts besides its text.
 ROW_BYTES = 16
-#: Rows of the sample from which cuts are proposed, about, and those that a node must have in it, else it is sampled anew (all such nodes together by
-#: about as many rows, or this number each, if that is more). What lies on either side of each cut is summed over all rows.
-SAMPLE, FEWEST = 40_000, 64
+#: Intervals into which a pass divides the keys of a node along a dimension. SAMPLE is no longer used: cuts come from all rows.
+BINS, SAMPLE = 1024, 0
+#: Sums that a pass brings to the driver, at most about: many nodes have fewer intervals each. Rows that a task sums up at once.
+SUMS, SUMMED = 1 << 19, 1 << 18
 #: A group of equal texts stays whole up to this share of a shard, and up to the size of the largest document, which cannot be cut either.
 GROUP_SHARE = 0.05
 #: Share of a node's bytes by which a cut may miss before the next dimension is tried.
@@ -90,101 +91,123 @@ def placed(docs: DataFrame, shards: int | None, target_bytes: int | None, id_col
     return staged(with_groups.select("doc_id", "size", "text_crc32", "group_split", F.array(*keys).alias("keys")), "placed"), shards
 
 
-def grown(rows: DataFrame, shards: int, sample: int = SAMPLE) -> Node:
-    """The tree. Each level is one pass (more only where rows are heavy): the rows' bytes between the cuts that the sample proposes, summed per node; the driver sees at most the sample's size of sums."""
-    count, total = (x or 0 for x in rows.agg(F.count("*"), F.sum("size")).first())
-    # Rows are drawn in proportion to their bytes, over the whole table.
-    drawn = rows.filter(F.rand(11) * total < F.col("size") * sample).select("keys")
-    seen = np.array([r.keys for r in drawn.collect()], np.int64)
+@dataclass
+class Gap:
+    """Where in a node's order along a dimension the cut must lie: keys of low to high, with `below` bytes before them and `own` bytes in them."""
+
+    low: int
+    high: int
+    below: int
+    own: int
+
+
+def grown(rows: DataFrame, shards: int, bins: int = BINS) -> Node:
+    """The tree. Every cut comes from sums over all rows: a pass adds up the bytes of each open node in `bins` intervals of a dimension's keys, the
+    next one those of the interval that holds the wanted share, between the least and the largest key found there, until that is one key. A
+    level takes one pass for the dimensions' spreads and some for the cuts; the driver sees at most `bins` sums for a node and dimension, fewer where nodes are many."""
     root = Node(0, shards)
-    open_nodes = [root] if len(seen) and shards > 1 else []
+    dims = len((rows.select("keys").first() or [[]])[0])
+    open_nodes = [root] if dims and shards > 1 else []
+    whole = {(0, d): (0, 1 << 61) for d in range(dims)} if open_nodes else {}
     while open_nodes:
-        at = leaf_of(root, seen)
-        poor = [x.first for x in open_nodes if (at == x.first).sum() < FEWEST] if len(seen) < count else []
-        if poor:
-            more = _sampled(rows, root, poor, max(FEWEST, sample // len(poor)), seen.shape[1])
-            seen = np.concatenate([seen[~np.isin(at, poor)], more])
-            at = leaf_of(root, seen)
-        orders, best = {}, {}
+        # The spread of each dimension: from where 5 % of the bytes lie to where 95 % do, to an interval.
+        sums = _between(rows, root, whole, bins)
+        total, orders = {}, {}
         for node in open_nodes:
-            own = seen[at == node.first]
-            if len(own) > 1:
-                low, high = np.quantile(own, [0.05, 0.95], axis=0)
-                orders[node.first] = np.argsort(low - high, kind="stable")
+            found = [sums.get((node.first, d), []) for d in range(dims)]
+            total[node.first] = sum(x[0] for x in found[0])
+            spread = [_at_share(f, 0.95).high - _at_share(f, 0.05).low if f else 0 for f in found]
+            orders[node.first] = sorted(range(dims), key=lambda d: -spread[d])
+        best: dict[int, tuple[float, int, int]] = {}
         # The widest dimension, unless single rows are so heavy that it has no cut near the middle: then the next ones are tried.
-        for turn in range(seen.shape[1]):
-            todo = [n for n in open_nodes if n.first in orders and (n.first not in best or best[n.first][0] > OFF)]
+        for turn in range(dims):
+            todo = [n for n in open_nodes if total[n.first] and (n.first not in best or best[n.first][0] > OFF)]
             if not todo:
                 break
-            plans = {n.first: (int(orders[n.first][turn]), np.unique(seen[at == n.first][:, orders[n.first][turn]])) for n in todo}
-            sums = _between(rows, root, plans)
+            gaps = {n.first: _at_share(sums[n.first, orders[n.first][turn]], n.leaves // 2 / n.leaves) for n in todo}
+            while any(g.low < g.high for g in gaps.values()):
+                wide = {(k, orders[k][turn]): (g.low, g.high) for k, g in gaps.items() if g.low < g.high}
+                found = _between(rows, root, wide, bins)
+                for n in todo:
+                    part = found.get((n.first, orders[n.first][turn]))
+                    if part:
+                        g = gaps[n.first]
+                        gaps[n.first] = _at_share(part, (total[n.first] * (n.leaves // 2) / n.leaves - g.below) / g.own, g.below)
             for n in todo:
-                dim, cuts = plans[n.first]
-                total = int(sums[n.first].sum())
-                away = np.abs(np.cumsum(sums[n.first])[:-1] - total * (n.leaves // 2) / n.leaves) / max(1, total)
-                found = (float(away.min()), dim, int(cuts[np.argmin(away)]))
-                best[n.first] = min(best.get(n.first, found), found)
+                g, want = gaps[n.first], total[n.first] * (n.leaves // 2) / n.leaves
+                # The key with the wanted share goes right, or left.
+                away = min((abs(g.below - want), g.low), (abs(g.below + g.own - want), g.low + 1))
+                cut = (away[0] / total[n.first], orders[n.first][turn], away[1])
+                best[n.first] = min(best.get(n.first, cut), cut)
         after = []
         for node in open_nodes:
             half = node.leaves // 2
-            # A node of one row or none cannot be split: all of it goes left.
+            # A node without rows cannot be split: all of it goes left.
             _, node.dim, node.cut = best.get(node.first, (0.0, 0, 1 << 62))
             node.left, node.right = Node(node.first, half), Node(node.first + half, node.leaves - half)
-            after += [x for x in (node.left, node.right) if x.leaves > 1]
+            for child, side in ((node.left, 0), (node.right, 1)):
+                if child.leaves > 1:
+                    after.append(child)
+                    # Within the keys that the parent has, cut where it was cut.
+                    held = {d: (min(x[1] for x in f), max(x[2] for x in f)) for d in range(dims) if (f := sums.get((node.first, d)))}
+                    for d, (low, high) in held.items():
+                        if d == node.dim:
+                            low, high = (low, min(high, node.cut - 1)) if not side else (max(low, node.cut), high)
+                        whole[child.first, d] = (low, max(low, high))
         open_nodes = after
+        firsts = {n.first for n in after}
+        whole = {k: v for k, v in whole.items() if k[0] in firsts}
     return root
 
 
-def _sampled(rows: DataFrame, root: Node, firsts: list[int], each: int, dims: int) -> np.ndarray:
-    """Keys of about `each` rows, in proportion to their bytes, of every one of some nodes: two passes, one for the nodes' bytes."""
-    wanted = np.array(sorted(firsts))
-
-    def bytes_of(batches):
-        sums = np.zeros(len(wanted), np.int64)
-        for batch in batches:
-            node = leaf_of(root, _keys(batch.column(0)))
-            own = np.isin(node, wanted)
-            sums += np.bincount(np.searchsorted(wanted, node[own]), batch.column(1).to_numpy(zero_copy_only=False)[own], len(wanted)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted), pa.array(sums)], names=["node", "size"])
-
-    total = {r.node: r["size"] for r in rows.select("keys", "size").mapInArrow(bytes_of, "node long, size long").groupBy("node").agg(F.sum("size").alias("size")).collect()}
-    bounds = np.array([total.get(k, 0) for k in wanted.tolist()], float)
-
-    def draw(batches):
-        for batch in batches:
-            node = leaf_of(root, _keys(batch.column(0)))
-            own = np.flatnonzero(np.isin(node, wanted))
-            share = batch.column(1).to_numpy(zero_copy_only=False)[own] * float(each)
-            got = own[batch.column(2).to_numpy(zero_copy_only=False)[own] * bounds[np.searchsorted(wanted, node[own])] < share]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(got))], names=["keys"])
-
-    found = rows.select("keys", "size", F.rand(13).alias("u")).mapInArrow(draw, "keys array<long>").collect()
-    return np.array([r.keys for r in found], np.int64).reshape(-1, dims)
+def _at_share(found: list[tuple[int, int, int]], share: float, below: int = 0) -> Gap:
+    """Of intervals (bytes, least key, largest key) in order, the one in which that share of their bytes is reached."""
+    total, so_far = sum(x[0] for x in found), 0
+    for own, low, high in found:
+        if so_far + own >= share * total or so_far + own == total:
+            return Gap(low, high, below + so_far, own)
+        so_far += own
+    raise ValueError("no intervals")
 
 
 def _keys(column) -> np.ndarray:
     return np.array(column.flatten().to_numpy(zero_copy_only=False)).reshape(len(column), -1)
 
 
-def _between(rows: DataFrame, root: Node, plans: dict[int, tuple[int, np.ndarray]]) -> dict[int, np.ndarray]:
-    """Bytes of each node's rows between its cuts."""
-
-    def bins(batches):
-        sums = {k: np.zeros(len(c) + 1, np.int64) for k, (_, c) in plans.items()}
-        for batch in batches:
-            keys = _keys(batch.column(0))
-            size, node = batch.column(1).to_numpy(zero_copy_only=False), leaf_of(root, keys)
-            for k, (dim, cuts) in plans.items():
-                own = node == k
-                sums[k] += np.bincount(np.searchsorted(cuts, keys[own, dim], "right"), size[own], len(cuts) + 1).astype(np.int64)
-        for k, s in sums.items():
-            hit = np.flatnonzero(s)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), k)), pa.array(hit), pa.array(s[hit])], names=["node", "bin", "size"])
-
-    sums = {k: np.zeros(len(c) + 1, np.int64) for k, (_, c) in plans.items()}
-    for r in rows.select("keys", "size").mapInArrow(bins, "node long, bin long, size long").groupBy("node", "bin").agg(F.sum("size").alias("size")).collect():
-        sums[r.node][r.bin] = r["size"]
-    return sums
+def _between(rows: DataFrame, root: Node, ranges: dict[tuple[int, int], tuple[int, int]], bins: int) -> dict[tuple[int, int], list[tuple[int, int, int]]]:
+    """For each (node, dimension) and range of keys (low, high): (bytes, least key, largest key) of those of its intervals that hold rows, in order."""
+    wanted: dict[int, list[tuple[int, int, int]]] = {}
+    for (node, dim), (low, high) in ranges.items():
+        wanted.setdefault(node, []).append((dim, low, high))
+    schema = "node long, dim long, bin long, size long, low long, high long"
+
+    bins = max(2, min(bins, SUMS // len(ranges)))
+
+    def sums(batches):
+        for some in in_chunks(batches, len, SUMMED):
+            keys = np.concatenate([_keys(b.column(0)) for b in some])
+            size, node = np.concatenate([b.column(1).to_numpy(zero_copy_only=False) for b in some]), leaf_of(root, keys)
+            order = np.argsort(node, kind="stable")
+            there, start = np.unique(node[order], return_index=True)
+            for k, own in zip(there.tolist(), np.split(order, start[1:]), strict=True):
+                for dim, low, high in wanted.get(k, ()):
+                    at = keys[own, dim]
+                    inside = (at >= low) & (at <= high)
+                    at, weight = at[inside], size[own][inside]
+                    if len(at):
+                        by = np.argsort(at, kind="stable")
+                        at, weight = at[by], weight[by]
+                        bin_ = (at - low) // ((high - low) // bins + 1)
+                        first = np.flatnonzero(np.concatenate([[True], bin_[1:] != bin_[:-1]]))
+                        n, last = len(first), np.append(first[1:], len(at)) - 1
+                        columns = (np.full(n, k), np.full(n, dim), bin_[first], np.add.reduceat(weight, first), at[first], at[last])
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "dim", "bin", "size", "low", "high"])
+
+    parts = rows.select("keys", "size").mapInArrow(sums, schema).groupBy("node", "dim", "bin").agg(F.sum("size").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"))
+    out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for node, dim, _, size, low, high in sorted(zip(*(c.to_pylist() for c in parts.toArrow().columns), strict=True)):
+        out.setdefault((node, dim), []).append((size, low, high))
+    return out
 
 
 def sharded(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("lang", "source", "doc_id")) -> DataFrame:
