@@ -1,4 +1,4 @@
-"""Near duplicates by exact similarity of word shingles: MinHash bands propose, the shingle sets themselves decide."""
+"""Near duplicates by exact similarity of word shingles: SimHash fingerprints with anchors propose, the shingle sets themselves decide."""
 
 from __future__ import annotations
 
@@ -8,16 +8,23 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import FEW, components, in_chunks, lean, staged, trim
 
 #: Words of a shingle; two sets are near from LEAST[0] / LEAST[1] of their union on.
 SHINGLE, LEAST = 5, (4, 5)
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 30, below 7 in a million.
-BANDS, ROWS = 30, 5
 SEED = 42
 #: Bytes of shingle sets in a block; a task compares two blocks at most.
 BLOCK = 8 << 20
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS * ROWS, 2), np.uint64) * np.uint64(2) + np.uint64(1)
+#: A smaller set shares less than that with any other: a set of four lies in one of five at best.
+FEWEST = 4
+
+
+def lesser(s: np.ndarray) -> list[int] | None:
+    """Of a set of four its hash, of one of five those of its subsets of four: the one near pair whose fingerprints differ in more than 16 of 100 bits meets here."""
+    if len(s) == FEWEST:
+        return [xxhash.xxh3_64_intdigest(s.tobytes()) >> 1]
+    return [xxhash.xxh3_64_intdigest(np.delete(s, i).tobytes()) >> 1 for i in range(len(s))] if len(s) == FEWEST + 1 else None
 
 
 def shingle_set(text: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -27,19 +34,6 @@ def shingle_set(text: bytes, n: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in joined), np.uint64))
 
 
-def bands(sets: list[np.ndarray]) -> np.ndarray:
-    """Of each set, none of them empty, BANDS hashes, each of its ROWS minima and the band's number."""
-    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    h, out = np.concatenate(sets), np.zeros((len(sets), BANDS), np.uint64)
-    for b in range(BANDS):
-        own = np.full(len(sets), b, np.uint64)
-        for mask, factor in _FACTORS[ROWS * b : ROWS * (b + 1)]:
-            own = (own ^ np.minimum.reduceat((h ^ mask) * factor, starts)) * np.uint64(0x9E3779B97F4A7C15)
-            own ^= own >> np.uint64(29)
-        out[:, b] = own
-    return out
-
-
 def roots(sets: list[np.ndarray], least: tuple[int, int] = LEAST) -> np.ndarray:
     """Of each set the first one that is reachable over pairs whose similarity is at least that.
 
@@ -78,30 +72,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, component_id) of each id that is not the smallest of its component. Documents are linked if the shingle sets of any of
     their texts have a similarity (shared over all) of 0.8 or more, and through other documents; ids must not be null.
 
-    Equal sets become one class first, by a partial aggregation. Each class is compared with the smallest one of each of its bands. Bands
-    whose classes are all linked by then are settled, as the largest groups of near copies are. What the other bands connect is compared in
-    full, in blocks of bounded size: a task holds two blocks, and blocks of classes already linked to each other do not meet.
+    Equal sets become one class first, by a partial aggregation. Bands are groups of classes whose SimHash fingerprints meet at an anchor and
+    are close (simhash.bands). Each class is compared with the smallest one of each of its bands. Bands whose classes are all linked by
+    then are settled, as the largest groups of near copies are. What the other bands connect is compared in full, in blocks of bounded
+    size: a task holds two blocks, and blocks of classes already linked to each other do not meet.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    prints, free = simhash.covering(rows.count())
 
     def sign(batches):
         for batch in batches:
             both = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for some in in_chunks(both, lambda r: len(r[1]) + 1, 1 << 20):
                 sets = [shingle_set(t) for _, t in some]
-                full = [i for i, s in enumerate(sets) if len(s)]
+                full = [i for i, s in enumerate(sets) if len(s) >= FEWEST]
                 found: list = [None] * len(some)
                 if full:
-                    for i, b in zip(full, bands([sets[i] for i in full]).view(np.int64), strict=True):
-                        found[i] = b
-                columns = [pa.array([d for d, _ in some], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(found, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "bands"])
-
-    marks = staged(rows.mapInArrow(lean(sign), "doc_id long, set binary, bands array<long>"), "shingles")
-    classes = staged(marks.groupBy("set").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "shingle-classes")
-    placed = classes.select("node", F.explode("bands").alias("band"))
-    least = placed.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select("band", "least")
-    members = staged(placed.join(least, "band"), "band-members")
+                    lengths = np.array([len(sets[i]) for i in full])
+                    for i, own in zip(full, simhash.several(np.concatenate([sets[i] for i in full]), lengths, prints).view(np.int64), strict=True):
+                        found[i] = own
+                columns = [pa.array([d for d, _ in some], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array([lesser(s) for s in sets], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "prints", "lesser"])
+
+    marks = staged(rows.mapInArrow(lean(sign), "doc_id long, set binary, prints array<long>, lesser array<long>"), "shingles")
+    classes = staged(marks.groupBy("set").agg(F.min("doc_id").alias("node"), F.first("prints").alias("prints"), F.first("lesser").alias("lesser")), "shingle-classes")
+    small = classes.select("node", F.explode("lesser").alias("band"))
+    least = small.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select("band", "least")
+    members = staged(simhash.bands(classes, prints, free).union(small.join(least, "band").select("node", "band", "least")), "band-members")
 
     def sets_of(batches):
         for batch in batches:

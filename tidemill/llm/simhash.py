@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,6 +27,11 @@ def _masks(s: int) -> list[int]:
 
 
 _MASKS = [np.array(_masks(s), np.uint64) for s in range(32)]
+#: The wider covering, for sets that share 0.8 of their shingles and so differ in some 15 of 100 bits: fingerprints of a set, blocks of each,
+#: bits of a block beside the 15 of its code, and bits of 128 that two sets of one band differ in at most.
+PRINTS, CUTS, FREE, APART = 28, 6, 3, 28
+#: Rows of an anchor up to which all its pairs are compared at once; beyond that a walk drops what it has reached.
+PAIRED = 512
 
 
 def fingerprint_batch(texts: list[bytes], shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -40,9 +47,14 @@ def fingerprint_batch(texts: list[bytes], shingle: int = SHINGLE, seed: int = SE
         counts.append(len(got))
     n, out = np.array(counts), np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(n)
-    if not len(full):
-        return out
-    h, lengths = np.concatenate([hashes[i] for i in full]), n[full]
+    if len(full):
+        out[full] = majorities(np.concatenate([hashes[i] for i in full]), n[full])
+    return out
+
+
+def majorities(h: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each run of lengths (none 0) in h the bits that are set in over half of its hashes."""
+    out = np.zeros(len(lengths), np.uint64)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     # Byte lanes hold counts of up to 255, so each text is summed in runs of 255 hashes.
     runs = -(-lengths // 255)
@@ -52,7 +64,7 @@ def fingerprint_batch(texts: list[bytes], shingle: int = SHINGLE, seed: int = SE
         lanes = np.add.reduceat((h >> np.uint64(k)) & np.uint64(0x0101010101010101), cuts)
         ones = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
         for byte in range(8):
-            out[full] |= (2 * ones[:, byte] > lengths).astype(np.uint64) << np.uint64(8 * byte + k)
+            out |= (2 * ones[:, byte] > lengths).astype(np.uint64) << np.uint64(8 * byte + k)
     return out
 
 
@@ -100,6 +112,140 @@ def stars(fp: np.ndarray, node: np.ndarray, most: int) -> list[tuple[int, int]]:
     return edges
 
 
+def several(h: np.ndarray, lengths: np.ndarray, count: int) -> np.ndarray:
+    """count fingerprints of each run of lengths (none 0) in h, each from the hashes mixed anew."""
+    factors = np.random.default_rng(SEED).integers(0, 1 << 63, (count, 3), np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.zeros((len(lengths), count), np.uint64)
+    for j, (mask, one, two) in enumerate(factors):
+        mixed = (h ^ mask) * one
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * two
+        out[:, j] = majorities(mixed ^ (mixed >> np.uint64(29)), lengths)
+    return out
+
+
+def covering(rows: int) -> tuple[int, int]:
+    """(fingerprints, free bits of a block) for that many rows: beyond 4 million, blocks get a bit with each doubling, so that anchors hold no
+    more rows, and as many more fingerprints as keep the probability that two sets share an anchor."""
+    free = max(FREE, (rows - 1).bit_length() - 19)
+    return math.ceil(PRINTS * 1.2 ** (free - FREE)), free
+
+
+class Block:
+    """A block of a fingerprint: 15 bits with a perfect Hamming code of radius 1, whose words are the anchors, and free bits, which stay as they are."""
+
+    def __init__(self, places: list[int]):
+        bit = [np.uint64(1 << int(p)) for p in places]
+        self.mask = np.bitwise_or.reduce(bit)
+        self.checks = [np.bitwise_or.reduce([bit[q - 1] for q in range(1, 16) if q >> k & 1]) for k in range(4)]
+        self.flips = np.array([0, *bit[:15]], np.uint64)
+
+    def anchors(self, fp: np.ndarray) -> np.ndarray:
+        """The one anchor within radius 1 of each fingerprint's block."""
+        syndrome = np.zeros(len(fp), np.int64)
+        for k, check in enumerate(self.checks):
+            syndrome |= (np.bitwise_count(fp & check) & 1).astype(np.int64) << k
+        return (fp & self.mask) ^ self.flips[syndrome]
+
+
+def blocks(free: int) -> list[Block]:
+    """CUTS blocks of 15 bits and the free ones, cut from shuffled bits; those of one shuffle share none."""
+    rng, size, out = np.random.default_rng(SEED), 15 + free, []
+    while len(out) < CUTS:
+        order = rng.permutation(64)
+        out += [Block(order[at : at + size]) for at in range(0, 64 - size + 1, size)]
+    return out[:CUTS]
+
+
+def joined(anchor: np.ndarray, one: np.ndarray, two: np.ndarray, most: int) -> np.ndarray:
+    """Of each row the first one of its anchor (rows are sorted by it) that is reachable over pairs whose two fingerprints are at most `most` bits apart."""
+    starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    sizes = np.diff(np.append(starts, len(anchor)))
+    root, end = np.arange(len(anchor)), np.repeat(starts + sizes, sizes)
+    at, d, pairs = np.flatnonzero(np.repeat(sizes <= PAIRED, sizes)), 1, []
+    while len(at := at[at + d < end[at]]):
+        near = at[np.bitwise_count(one[at] ^ one[at + d]) + np.bitwise_count(two[at] ^ two[at + d]) <= most]
+        pairs.append((near, near + d))
+        d += 1
+    if pairs:
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        while True:
+            new, low = root.copy(), np.minimum(root[a], root[b])
+            np.minimum.at(new, a, low)
+            np.minimum.at(new, b, low)
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+    for start, size in zip(starts[sizes > PAIRED].tolist(), sizes[sizes > PAIRED].tolist(), strict=True):
+        left = np.arange(start, start + size)
+        while len(left):
+            first, left = left[0], left[1:]
+            front = [first]
+            while front and len(left):
+                i = front.pop()
+                near = np.bitwise_count(one[left] ^ one[i]) + np.bitwise_count(two[left] ^ two[i]) <= most
+                got = left[near]
+                root[got] = first
+                front += got.tolist()
+                left = left[~near]
+    return root
+
+
+def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> DataFrame:
+    """(node, band, least) of classes (node, prints: that many fingerprints as longs, or null). A band is what fingerprints at most `most` of 128 bits
+    apart connect within an anchor, two nodes at least; least is its smallest node.
+
+    Each block of each fingerprint goes to the anchor nearest to it. There the fingerprint and the next one of its node are compared. Two sets of
+    similarity 0.8 differ in each bit with a probability of 0.15 to 0.16, and share no band with one below 7 in a million.
+    """
+    cuts = blocks(free)
+
+    def replicate(batches):
+        for batch in batches:
+            some = batch.filter(batch.column(1).is_valid())
+            node, held = some.column(0).to_numpy(zero_copy_only=False), some.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, prints)
+            for j in range(prints):
+                one, two = held[:, j], held[:, (j + 1) % prints]
+                mixed = [(cut.anchors(one.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) for cut in cuts]
+                anchor = np.concatenate([m | np.uint64((j * CUTS + c) << 32) for c, m in enumerate(mixed)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), *(pa.array(np.tile(x, CUTS)) for x in (node, one, two))], names=["anchor", "node", "one", "two"])
+
+    def compare(batches):
+        for anchor, node, one, two in whole_anchors(batches, 1 << 16):
+            root = joined(anchor, one.view(np.uint64), two.view(np.uint64), most)
+            full = np.flatnonzero(np.bincount(root, minlength=len(root))[root] > 1)
+            if len(full):
+                least = np.full(len(root), np.iinfo(np.int64).max)
+                np.minimum.at(least, root[full], node[full])
+                least = least[root[full]]
+                band = (anchor[full].view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (least.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                yield pa.RecordBatch.from_arrays([pa.array(node[full]), pa.array(band.view(np.int64)), pa.array(least)], names=["node", "band", "least"])
+
+    placed = classes.select("node", "prints").mapInArrow(lean(replicate), "anchor long, node long, one long, two long")
+    return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(compare), "node long, band long, least long")
+
+
+def whole_anchors(batches, least: int = 1):
+    """Columns of batches that are sorted by the first one, cut between two of its values, in parts of about `least` rows or more."""
+    held, rows, wanted = [], 0, least
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        rows += batch.num_rows
+        if rows < wanted:
+            continue
+        now = [np.concatenate(x) for x in zip(*held, strict=True)]
+        last = int(np.searchsorted(now[0], now[0][-1]))
+        if last:
+            yield [x[:last] for x in now]
+        held, rows = [[x[last:] for x in now]], 0
+        # An anchor of many batches is put together each time its size has doubled.
+        wanted = least if last else len(now[0])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def links(classes: DataFrame, most: int = BITS) -> DataFrame:
     """Star edges (a, b) between the nodes of classes (node, fp: distinct fingerprints) that connect all fingerprints at most `most` (3) bits apart.
 
@@ -120,17 +266,8 @@ def links(classes: DataFrame, most: int = BITS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int64)), pa.array(node[at : at + 4096][index]), pa.array(some[index])], names=["anchor", "node", "fp"])
 
     def compare(batches):
-        held = None
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            a, node, fp = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-            if not len(a):
-                continue
-            last = int(np.searchsorted(a, a[-1]))
-            held = [a[last:], node[last:], fp[last:]]
-            yield from edges_of(a[:last], node[:last], fp[:last])
-        if held is not None:
-            yield from edges_of(*held)
+        for a, node, fp in whole_anchors(batches):
+            yield from edges_of(a, node, fp)
 
     def edges_of(a, node, fp):
         fp = fp.view(np.uint64)
