@@ -28,8 +28,8 @@ def _masks(s: int) -> list[int]:
 
 _MASKS = [np.array(_masks(s), np.uint64) for s in range(32)]
 #: The wider covering, for sets that share 0.8 of their shingles and so differ in some 15 of 100 bits: fingerprints of a set, blocks of each,
-#: bits of a block beside the 15 of its code, and bits of 128 that two sets of one band differ in at most.
-PRINTS, CUTS, FREE, APART = 28, 6, 3, 28
+#: bits of a block beside the 15 of its code, and bits that another fingerprint of two sets of one band differs in at most.
+PRINTS, CUTS, FREE, APART = 26, 6, 2, 14
 #: Rows of an anchor up to which all its pairs are compared at once; beyond that a walk drops what it has reached.
 PAIRED = 512
 
@@ -124,7 +124,7 @@ def several(h: np.ndarray, lengths: np.ndarray, count: int) -> np.ndarray:
 
 
 def covering(rows: int) -> tuple[int, int]:
-    """(fingerprints, free bits of a block) for that many rows: beyond 4 million, blocks get a bit with each doubling, so that anchors hold no
+    """(fingerprints, free bits of a block) for that many rows: beyond 2 million, blocks get a bit with each doubling, so that anchors hold no
     more rows, and as many more fingerprints as keep the probability that two sets share an anchor."""
     free = max(FREE, (rows - 1).bit_length() - 19)
     return math.ceil(PRINTS * 1.2 ** (free - FREE)), free
@@ -156,14 +156,14 @@ def blocks(free: int) -> list[Block]:
     return out[:CUTS]
 
 
-def joined(anchor: np.ndarray, one: np.ndarray, two: np.ndarray, most: int) -> np.ndarray:
-    """Of each row the first one of its anchor (rows are sorted by it) that is reachable over pairs whose two fingerprints are at most `most` bits apart."""
+def joined(anchor: np.ndarray, fp: np.ndarray, most: int) -> np.ndarray:
+    """Of each row the first one of its anchor (rows are sorted by it) that is reachable over pairs whose fingerprints are at most `most` bits apart."""
     starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     sizes = np.diff(np.append(starts, len(anchor)))
     root, end = np.arange(len(anchor)), np.repeat(starts + sizes, sizes)
     at, d, pairs = np.flatnonzero(np.repeat(sizes <= PAIRED, sizes)), 1, []
     while len(at := at[at + d < end[at]]):
-        near = at[np.bitwise_count(one[at] ^ one[at + d]) + np.bitwise_count(two[at] ^ two[at + d]) <= most]
+        near = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= most]
         pairs.append((near, near + d))
         d += 1
     if pairs:
@@ -183,7 +183,7 @@ def joined(anchor: np.ndarray, one: np.ndarray, two: np.ndarray, most: int) -> n
             front = [first]
             while front and len(left):
                 i = front.pop()
-                near = np.bitwise_count(one[left] ^ one[i]) + np.bitwise_count(two[left] ^ two[i]) <= most
+                near = np.bitwise_count(fp[left] ^ fp[i]) <= most
                 got = left[near]
                 root[got] = first
                 front += got.tolist()
@@ -192,10 +192,11 @@ def joined(anchor: np.ndarray, one: np.ndarray, two: np.ndarray, most: int) -> n
 
 
 def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> DataFrame:
-    """(node, band, least) of classes (node, prints: that many fingerprints as longs, or null). A band is what fingerprints at most `most` of 128 bits
+    """(node, band, least) of classes (node, prints: that many fingerprints as longs, or null). A band is what fingerprints at most `most` bits
     apart connect within an anchor, two nodes at least; least is its smallest node.
 
-    Each block of each fingerprint goes to the anchor nearest to it. There the fingerprint and the next one of its node are compared. Two sets of
+    Each block of each fingerprint goes to the anchor nearest to it. There the nodes' next fingerprints are compared, whose bits
+    have no part in the anchor, so a row carries one. Two sets of
     similarity 0.8 differ in each bit with a probability of 0.15 to 0.16, and share no band with one below 7 in a million.
     """
     cuts = blocks(free)
@@ -205,14 +206,14 @@ def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> Data
             some = batch.filter(batch.column(1).is_valid())
             node, held = some.column(0).to_numpy(zero_copy_only=False), some.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, prints)
             for j in range(prints):
-                one, two = held[:, j], held[:, (j + 1) % prints]
-                mixed = [(cut.anchors(one.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) for cut in cuts]
-                anchor = np.concatenate([m | np.uint64((j * CUTS + c) << 32) for c, m in enumerate(mixed)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), *(pa.array(np.tile(x, CUTS)) for x in (node, one, two))], names=["anchor", "node", "one", "two"])
+                own, other = held[:, j], held[:, (j + 1) % prints]
+                mixed = [(cut.anchors(own.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(38) for cut in cuts]
+                anchor = np.concatenate([m | np.uint64((j * CUTS + c) << 26) for c, m in enumerate(mixed)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), *(pa.array(np.tile(x, CUTS)) for x in (node, other))], names=["anchor", "node", "fp"])
 
     def compare(batches):
-        for anchor, node, one, two in whole_anchors(batches, 1 << 16):
-            root = joined(anchor, one.view(np.uint64), two.view(np.uint64), most)
+        for anchor, node, fp in whole_anchors(batches, 1 << 16):
+            root = joined(anchor, fp.view(np.uint64), most)
             full = np.flatnonzero(np.bincount(root, minlength=len(root))[root] > 1)
             if len(full):
                 least = np.full(len(root), np.iinfo(np.int64).max)
@@ -221,7 +222,7 @@ def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> Data
                 band = (anchor[full].view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (least.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays([pa.array(node[full]), pa.array(band.view(np.int64)), pa.array(least)], names=["node", "band", "least"])
 
-    placed = classes.select("node", "prints").mapInArrow(lean(replicate), "anchor long, node long, one long, two long")
+    placed = classes.select("node", "prints").mapInArrow(lean(replicate), "anchor long, node long, fp long")
     return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(compare), "node long, band long, least long")
 
 
