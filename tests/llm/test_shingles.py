@@ -79,3 +79,46 @@ def test_chains_that_stars_leave_open(spark, block):
 
 def test_no_documents(spark):
     assert shingles.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_class_of_many_bands_is_one_row_after_the_stars(spark, monkeypatch):
+    rng, real, rows_of = np.random.default_rng(7), shingles.staged, {}
+    base, rows = [f"w{i}" for i in range(300)], []
+    # Texts about 0.7 alike meet in many bands, in most of them with another smallest text, and are not linked.
+    for i in range(60):
+        w = list(base)
+        for p in rng.choice(np.arange(5, 295, 10), 5, replace=False):
+            w[p] = f"t{i}p{p}"
+        rows.append((i, " ".join(w)))
+    rows.append((60, rows[30][1] + " more"))
+
+    def counted(frame, name):
+        out = real(frame, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(shingles, "staged", counted)
+    near = lambda a, b: a[0] == b[0] or similarity(a[1], b[1]) >= 0.8
+    want = {a: b for a, b in components(rows, near).items() if a != b}
+    found = {r.doc_id: r.component_id for r in shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == want and len(want) < 30
+    assert rows_of["band-members"] > 5 * len(rows) and rows_of["band-unsettled"] <= len(rows)
+
+
+@pytest.mark.parametrize("hubs", [1, 4])
+@pytest.mark.parametrize("block", [shingles.BLOCK, 3000])
+def test_strangers_in_the_bands_of_linked_groups(spark, monkeypatch, hubs, block):
+    monkeypatch.setattr(shingles, "HUBS", hubs)
+    rng, rows = np.random.default_rng(8), []
+    for c in range(4):
+        base = [f"c{c}w{i}" for i in range(300)]
+        # Ids are dealt at random, so the smallest of a band is now one of the linked, now a stranger, who may be linked to a few of them.
+        for k in range(24):
+            w = list(base)
+            for p in rng.choice(np.arange(5, 295, 10), [1, 1, 2, 4, 5, 6][k % 6], replace=False):
+                w[p] = f"c{c}t{k}p{p}"
+            rows.append((int(rng.integers(1 << 20)) * 128 + 32 * c + k, " ".join(w)))
+    near = lambda a, b: a[0] == b[0] or similarity(a[1], b[1]) >= 0.8
+    want = {a: b for a, b in components(rows, near).items() if a != b}
+    found = {r.doc_id: r.component_id for r in shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()}
+    assert found == want

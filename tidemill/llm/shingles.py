@@ -16,6 +16,8 @@ SHINGLE, LEAST = 5, (4, 5)
 SEED = 42
 #: Bytes of shingle sets in a block; a task compares two blocks at most.
 BLOCK = 8 << 20
+#: Of the smallest classes of its bands a class is compared with so many, the least first, before blocks are; the rest is left to the blocks.
+HUBS = 4
 #: A smaller set shares less than that with any other: a set of four lies in one of five at best.
 FEWEST = 4
 
@@ -73,9 +75,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their texts have a similarity (shared over all) of 0.8 or more, and through other documents; ids must not be null.
 
     Equal sets become one class first, by a partial aggregation. Bands are groups of classes whose SimHash fingerprints meet at an anchor and
-    are close (simhash.bands). Each class is compared with the smallest one of each of its bands. Bands whose classes are all linked by
-    then are settled, as the largest groups of near copies are. What the other bands connect is compared in full, in blocks of bounded
-    size: a task holds two blocks, and blocks of classes already linked to each other do not meet.
+    are close (simhash.bands); those with one smallest class are one band. Each class is compared with the smallest one of at most HUBS of
+    its bands. Bands whose classes are all linked by then are settled, as the largest groups of near copies are. What the other bands
+    connect is compared in full, in blocks of bounded size: a task holds two blocks, and blocks of classes already linked to each other
+    do not meet.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     prints, free = simhash.covering(rows.count())
@@ -98,7 +101,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = staged(marks.groupBy("set").agg(F.min("doc_id").alias("node"), F.first("prints").alias("prints"), F.first("lesser").alias("lesser")), "shingle-classes")
     small = classes.select("node", F.explode("lesser").alias("band"))
     least = small.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select("band", "least")
-    members = staged(simhash.bands(classes, prints, free).union(small.join(least, "band").select("node", "band", "least")), "band-members")
+    met = simhash.bands(classes, prints, free).select("node", "least").union(small.join(least, "band").select("node", "least")).distinct()
+    own = Window.partitionBy("node").orderBy("least")
+    members = staged(met.select("node", "least", F.first("least").over(own).alias("first"), F.row_number().over(own).alias("rank")), "band-members")
 
     def sets_of(batches):
         for batch in batches:
@@ -107,25 +112,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 sets = pa.array([shingle_set(t).view(np.int64) for _, t in some], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in some], pa.int64()), sets], names=["node", "set"])
 
-    wanted = staged(members.select(F.col("node").alias("doc_id")).distinct(), "band-nodes")
+    wanted = staged(members.filter("rank = 1").select(F.col("node").alias("doc_id")), "band-nodes")
     texts = rows.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted, "doc_id").select(F.col("doc_id").alias("node"), "text")
     held = staged(texts.mapInArrow(lean(sets_of), "node long, set array<long>").distinct(), "band-sets")
 
     num, den = LEAST
-    sides = members.filter("node <> least").select("node", "least").distinct().join(held, "node")
+    sides = members.filter((F.col("rank") <= HUBS) & (F.col("node") != F.col("least"))).select("node", "least").join(held, "node")
     both = sides.join(held.select(F.col("node").alias("least"), F.col("set").alias("other")), "least")
     sizes = F.size("set").cast("long") + F.size("other")
     fits = F.greatest(F.size("set"), F.size("other")).cast("long") * num <= F.least(F.size("set"), F.size("other")).cast("long") * den
     star = both.filter(fits).filter((num + den) * F.size(F.array_intersect("set", "other")) >= num * sizes)
     star = staged(star.select(F.col("node").alias("a"), F.col("least").alias("b")), "band-stars")
 
-    linked = members.join(components(star), "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    unsettled = linked.groupBy("band").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("band")
-    linked = staged(linked.join(unsettled, "band"), "band-unsettled")
-    loose = components(linked.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    # A class that is linked to none leaves all its bands unsettled, so only the others' bands are looked at.
+    groups = components(star)
+    linked = staged(members.join(groups, "node").select("node", "least", F.col("component").alias("group")), "band-linked")
+    alike = linked.groupBy("least").agg(F.count("*").alias("n"), F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo = hi")
+    settled = alike.join(members.groupBy("least").agg(F.count("*").alias("n")), ["least", "n"]).select("least")
+    alone = wanted.select(F.col("doc_id").alias("node")).join(groups, "node", "left_anti").select("node", F.col("node").alias("group"))
+    unsettled = staged(linked.join(settled, "least", "left_anti").select("node", "group").distinct().union(alone), "band-unsettled")
+    # Bands that share a class, or classes that are linked, are connected by few edges: from a class's first band to its others.
+    spans = members.select(F.col("first").alias("a"), F.col("least").alias("b")).distinct()
+    loose = components(spans.union(members.filter("rank = 1").select("node", "first")).union(groups))
     # Blocks follow the order of groups, so two of them hold one group only if the first's least is the last's greatest.
     order = Window.partitionBy("component").orderBy("group", "node").rowsBetween(Window.unboundedPreceding, 0)
-    sized = held.select("node", (8 * F.size("set").cast("long") + 64).alias("bytes")).join(linked.select("node", "group").distinct(), "node").join(loose, "node")
+    sized = held.select("node", (8 * F.size("set").cast("long") + 64).alias("bytes")).join(unsettled, "node").join(loose, "node")
     numbered = sized.withColumn("block", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / block))
     blocks = staged(numbered.groupBy("component", "block", "node").agg(F.min("group").alias("group")), "blocks")
     ends = blocks.groupBy("component", "block").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))

@@ -192,8 +192,8 @@ def joined(anchor: np.ndarray, fp: np.ndarray, most: int) -> np.ndarray:
 
 
 def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> DataFrame:
-    """(node, band, least) of classes (node, prints: that many fingerprints as longs, or null). A band is what fingerprints at most `most` bits
-    apart connect within an anchor, two nodes at least; least is its smallest node.
+    """(node, least) of classes (node, prints: that many fingerprints as longs, or null), once for each anchor at which they meet. A band is
+    what fingerprints at most `most` bits apart connect within an anchor, two nodes at least; least is its smallest node.
 
     Each block of each fingerprint goes to the anchor nearest to it. There the nodes' next fingerprints are compared, whose bits
     have no part in the anchor, so a row carries one. Two sets of
@@ -218,12 +218,10 @@ def bands(classes: DataFrame, prints: int, free: int, most: int = APART) -> Data
             if len(full):
                 least = np.full(len(root), np.iinfo(np.int64).max)
                 np.minimum.at(least, root[full], node[full])
-                least = least[root[full]]
-                band = (anchor[full].view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (least.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                yield pa.RecordBatch.from_arrays([pa.array(node[full]), pa.array(band.view(np.int64)), pa.array(least)], names=["node", "band", "least"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[full]), pa.array(least[root[full]])], names=["node", "least"])
 
     placed = classes.select("node", "prints").mapInArrow(lean(replicate), "anchor long, node long, fp long")
-    return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(compare), "node long, band long, least long")
+    return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(compare), "node long, least long")
 
 
 def whole_anchors(batches, least: int = 1):
